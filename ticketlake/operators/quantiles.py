@@ -13,44 +13,57 @@ def value_counts(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
     """How often each value occurs per group: the only pass over the rows.
 
     Counts are combined before the shuffle and the shuffle spreads a group over all its values.
-    `bucket` is the whole part of the value.
+    `bucket` is the whole part of the value. A missing value is stored as NaN, which keeps the
+    column non-null: both uses of this table then have the same plan and share one shuffle.
     """
+    known = F.coalesce(F.col(value), F.lit(float("nan")))
     return (
-        df.groupBy(*keys, F.col(value).alias("value"))
+        df.groupBy(*keys, known.alias("value"))
         .agg(F.count(F.lit(1)).alias("n"))
         .withColumn("bucket", F.floor("value"))
     )
 
 
-def _rank(p: float, total: Column) -> Column:
-    return (total - 1).cast("double") * F.lit(float(p))
-
-
-def quantiles_from_counts(
-    counts: DataFrame, keys: Sequence[str], probs: Mapping[str, float]
+def grouped_summary(
+    df: DataFrame, keys: Sequence[str], value: str, probs: Mapping[str, float], digits: int = 4
 ) -> DataFrame:
-    """One row per group with a column per entry of `probs`, linearly interpolated.
+    """Per group: `rows`, `mean`, and an exact, linearly interpolated quantile per entry of `probs`.
 
     A group's running totals over whole-number buckets tell which buckets hold the wanted ranks;
-    only their values are then ranked, bucket by bucket. The rows one task sees for a group are
-    its distinct buckets, and its distinct values in one bucket, however many rows it has.
+    only the values of those are then ranked, bucket by bucket. What one task sees of a group is
+    its distinct buckets, then its distinct values in one bucket, however many rows it has.
+
+    `value` has at most `digits` decimals; the mean is summed as a decimal, so it does not depend
+    on the order in which partitions arrive. Missing values count in `rows` only.
     """
     keys = list(keys)
-    present = counts.filter(F.col("value").isNotNull())
-    buckets = present.groupBy(*keys, "bucket").agg(F.sum("n").alias("in_bucket"))
+    counts = value_counts(df, keys, value)
+    present = F.when(F.isnan("value"), F.lit(0)).otherwise(F.col("n"))
+    exact = F.when(~F.isnan("value"), F.col("value")).cast(f"decimal(18,{digits})")
+    buckets = counts.groupBy(*keys, "bucket").agg(
+        F.sum("n").alias("all_rows"),
+        F.sum(present).alias("in_bucket"),
+        F.sum(exact * F.col("n").cast("decimal(18,0)")).alias("bucket_sum"),
+    )
     group = Window.partitionBy(*keys)
     upto = group.orderBy("bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     placed = (
-        buckets.withColumn("total", F.sum("in_bucket").over(group))
-        .withColumn("before", F.sum("in_bucket").over(upto) - F.col("in_bucket"))
-        .withColumn("after", F.col("before") + F.col("in_bucket"))
+        buckets.withColumn("before", F.sum("in_bucket").over(upto) - F.col("in_bucket"))
+        .withColumn("rows", F.sum("all_rows").over(group))
+        .withColumn("total", F.sum("in_bucket").over(group))
+        .withColumn("group_sum", F.sum("bucket_sum").over(group).cast("double"))
     )
-    total = F.col("total")
-    wanted_ranks = [f(_rank(p, total)) for p in probs.values() for f in (F.floor, F.ceil)]
-    holds_one = reduce(
-        lambda a, b: a | b, [(r >= F.col("before")) & (r < F.col("after")) for r in wanted_ranks]
+    ranks = {n: (F.col("total") - 1).cast("double") * F.lit(float(p)) for n, p in probs.items()}
+    after = F.col("before") + F.col("in_bucket")
+    holds_rank = [
+        (end >= F.col("before")) & (end < after)
+        for r in ranks.values()
+        for end in (F.floor(r), F.ceil(r))
+    ]
+    empty = F.col("total") == 0
+    wanted = placed.filter(reduce(lambda a, b: a | b, holds_rank, empty)).drop(
+        "all_rows", "in_bucket", "bucket_sum"
     )
-    wanted = placed.filter(holds_one).select(*keys, "bucket", "before", "total")
 
     in_order = (
         Window.partitionBy(*keys, "bucket")
@@ -58,63 +71,36 @@ def quantiles_from_counts(
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     ranked = (
-        _null_safe_join(present, wanted, keys, ["bucket"])
-        .withColumn("end", F.col("before") + F.sum("n").over(in_order))
-        .withColumn("start", F.col("end") - F.col("n"))
+        _join_null_safe(counts, wanted, keys, "bucket")
+        .withColumn("end", F.col("before") + F.sum(present).over(in_order))
+        .withColumn("start", F.col("end") - present)
     )
 
-    def at(rank: Column) -> Column:
+    def value_at(rank: Column) -> Column:
         return F.max(F.when((rank >= F.col("start")) & (rank < F.col("end")), F.col("value")))
 
-    picked = [F.max("total").alias("total")]
-    for name, p in probs.items():
-        picked.append(at(F.floor(_rank(p, total))).alias(f"{name}_low"))
-        picked.append(at(F.ceil(_rank(p, total))).alias(f"{name}_high"))
-    picks = ranked.groupBy(*keys).agg(*picked)
+    picks = [F.max(c).alias(c) for c in ("rows", "total", "group_sum")]
+    for name, rank in ranks.items():
+        picks.append(value_at(F.floor(rank)).alias(f"{name}_low"))
+        picks.append(value_at(F.ceil(rank)).alias(f"{name}_high"))
 
-    def interpolate(name: str, p: float) -> Column:
-        rank = _rank(p, F.col("total"))
+    def interpolate(name: str) -> Column:
         low, high = F.col(f"{name}_low"), F.col(f"{name}_high")
-        share = rank - F.floor(rank)
+        share = ranks[name] - F.floor(ranks[name])
         between = (F.lit(1.0) - share) * low + share * high
         return F.when(low == high, low).otherwise(between).alias(name)
 
-    return picks.select(*keys, *[interpolate(n, p) for n, p in probs.items()])
-
-
-def _null_safe_join(
-    left: DataFrame,
-    right: DataFrame,
-    nullable: Sequence[str],
-    plain: Sequence[str] = (),
-    how: str = "inner",
-) -> DataFrame:
-    """Equi-join in which a NULL group key meets itself; keeps the left side's key columns."""
-    renamed = right.select(
-        *[F.col(c).alias(f"_r_{c}") if c in {*nullable, *plain} else F.col(c) for c in right.columns]
+    mean = F.when(~empty, F.col("group_sum") / F.col("total").cast("double")).alias("mean")
+    return (
+        ranked.groupBy(*keys)
+        .agg(*picks)
+        .select(*keys, "rows", mean, *[interpolate(n) for n in probs])
     )
-    on = [F.col(c).eqNullSafe(F.col(f"_r_{c}")) for c in nullable]
-    on += [F.col(c) == F.col(f"_r_{c}") for c in plain]
-    joined = left.join(renamed, reduce(lambda a, b: a & b, on), how)
-    return joined.drop(*[f"_r_{c}" for c in (*nullable, *plain)])
 
 
-def grouped_summary(
-    df: DataFrame, keys: Sequence[str], value: str, probs: Mapping[str, float], digits: int = 4
-) -> DataFrame:
-    """Per group: `rows`, the exact quantiles in `probs`, and `mean` of a value with at most
-    `digits` decimals.
-
-    Everything follows from one table of value counts. The mean is summed as a decimal, so it does
-    not depend on the order in which partitions arrive.
-    """
-    counts = value_counts(df, keys, value)
-    exact = F.col("value").cast(f"decimal(18,{digits})") * F.col("n").cast("decimal(18,0)")
-    present = F.col("value").isNotNull()
-    totals = counts.groupBy(*keys).agg(
-        F.sum("n").alias("rows"),
-        (
-            F.sum(exact).cast("double") / F.sum(F.when(present, F.col("n"))).cast("double")
-        ).alias("mean"),
-    )
-    return _null_safe_join(totals, quantiles_from_counts(counts, keys, probs), keys, how="left")
+def _join_null_safe(left: DataFrame, right: DataFrame, keys: list[str], plain: str) -> DataFrame:
+    """Equi-join on `plain` and on group keys that may be NULL; keeps the left side's columns."""
+    other = right.withColumnsRenamed({c: f"_r_{c}" for c in (*keys, plain)})
+    on = [F.col(c).eqNullSafe(F.col(f"_r_{c}")) for c in keys]
+    joined = left.join(other, reduce(lambda a, b: a & b, on, F.col(plain) == F.col(f"_r_{plain}")))
+    return joined.drop(*[f"_r_{c}" for c in (*keys, plain)])

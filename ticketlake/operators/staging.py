@@ -80,13 +80,15 @@ def merge_staged(
     Keeping the newest version is a maximum over a total order, so newest(previous + new) equals
     newest(all bronze). Rows without a key are not compared, so those of a batch that is read
     again are first taken out of `previous`. `batches` lists the (ingest_date, _batch_id) pairs
-    in `new_typed`: one row per batch, small enough for the size-checked broadcast in practice.
+    in `new_typed`, one row per batch.
     """
     lineage = ["ingest_date", "_batch_id"]
     keyed = F.col("unique_key").isNotNull()
     columns = new_typed.columns
-    previous = previous.select(*columns)
-    kept_unkeyed = previous.filter(~keyed).join(batches, lineage, "left_anti").select(*columns)
-    merged = newest_rows(previous.filter(keyed).unionByName(new_typed.filter(keyed)).filter(keyed))
-    rows = merged.unionByName(kept_unkeyed).unionByName(new_typed.filter(~keyed))
-    return with_response_hours(rows, extra)
+    earlier = (
+        previous.select(*columns)
+        .join(batches.select(*lineage, F.lit(True).alias("_again")), lineage, "left")
+        .filter(keyed | F.col("_again").isNull())
+        .select(*columns)
+    )
+    return with_response_hours(newest_rows(earlier.unionByName(new_typed)), extra)

@@ -16,8 +16,9 @@ from ticketlake.operators.fingerprint import batch_id, row_digest
 from ticketlake.sources import fs
 from ticketlake.sources.files import read_jsonl, write_jsonl
 
-# Identifies a stored row; lets staging keep unkeyed rows apart in a single pass.
-STORED_ROW_ID = ("_file", "_row")
+# Columns that identify a stored row, and the file metadata they come from. They let staging keep
+# unkeyed rows apart in a single pass, and are the same when a lost task is run again.
+STORED_ROW_ID = {"_file": "file_path", "_row": "row_index"}
 
 
 class NoBronzeData(RuntimeError):
@@ -120,5 +121,5 @@ def scan(spark: SparkSession, root: str, row_id: bool = False) -> DataFrame:
     table = spark.read.schema(BRONZE_SCHEMA).parquet(bronze_path(root))
     if not row_id:
         return table
-    names = [F.col("_metadata.file_path"), F.col("_metadata.row_index")]
-    return table.select("*", *[c.alias(n) for c, n in zip(names, STORED_ROW_ID, strict=True)])
+    ids = [F.col(f"_metadata.{m}").alias(n) for n, m in STORED_ROW_ID.items()]
+    return table.select("*", *ids)

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ticketlake.config import RAW_COLUMNS, LakeConfig
+from ticketlake.sources.bronze import STORED_ROW_ID
 
 # The parameters that fit this input.
 ORDER_LAKE = LakeConfig(
@@ -30,10 +31,12 @@ def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         n: _table(spark, sf_dir, n)
         for n in ("lineitem", "orders", "customer", "nation", "region", "part")
     }
+    stored = t["lineitem"].select(
+        "*", *[F.col(f"_metadata.{m}").alias(n) for n, m in STORED_ROW_ID.items()]
+    )
     place = t["nation"].join(t["region"], F.col("n_regionkey") == F.col("r_regionkey"))
     return (
-        t["lineitem"]
-        .join(t["orders"], F.col("l_orderkey") == F.col("o_orderkey"))
+        stored.join(t["orders"], F.col("l_orderkey") == F.col("o_orderkey"))
         .join(t["customer"], F.col("o_custkey") == F.col("c_custkey"))
         .join(place, F.col("c_nationkey") == F.col("n_nationkey"))
         .join(t["part"], F.col("l_partkey") == F.col("p_partkey"))
@@ -41,7 +44,7 @@ def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The 12 raw text columns, the lineage columns and the line number."""
+    """The 12 raw text columns, the lineage columns, the line number and the stored row's id."""
     c = F.col
     line = c("l_linenumber")
     closed = c("l_linestatus") == "F"
@@ -97,6 +100,7 @@ def raw_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
         "ingest_date": F.date_add(F.lit("2024-01-01").cast("date"), line),
         "_batch_id": F.concat(F.lit("b"), padded(c("l_partkey")), padded(c("l_suppkey"))),
         "line": line,
+        **{n: c(n) for n in STORED_ROW_ID},
     }
     return order_lines(spark, sf_dir).select(*[v.alias(n) for n, v in columns.items()])
 
