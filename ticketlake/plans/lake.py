@@ -88,16 +88,18 @@ class Lake:
             return self.spark.createDataFrame([], RUN_SCHEMA)
         return self.spark.read.schema(RUN_SCHEMA).json(f"{self.root}/runs")
 
-    def state(self) -> State:
-        newest = self.run_log().orderBy(F.col("seq").desc()).limit(1).collect()
-        if not newest:
+    def state(self, new_run: str | None = None) -> State:
+        """The newest record; refuses `new_run` if a finished run already has that id."""
+        newest = F.max_by(F.struct(*RUN_SCHEMA.fieldNames()), "seq")
+        taken = F.count_if(F.col("run_id") == F.lit(new_run))
+        found = self.run_log().agg(newest.alias("newest"), taken.alias("taken")).first()
+        if found["taken"]:
+            raise ValueError(f"run id {new_run!r} is taken; a finished run is never overwritten")
+        row = found["newest"]
+        if row is None:
             return State()
-        row = newest[0]
         return State(row["seq"], row["watermark"], row["published_run"], row)
 
-    def has_run(self, run_id: str) -> bool:
-        return not self.run_log().filter(F.col("run_id") == run_id).isEmpty()
-
     def record(self, seq: int, **values) -> None:
         """Append a run's record; the commit point of a run. A sequence number is used once."""
         fields = [f for f in RUN_SCHEMA.fields if f.name != "seq"]
