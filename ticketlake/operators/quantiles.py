@@ -13,8 +13,7 @@ def value_counts(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
     """How often each value occurs per group: the only pass over the rows.
 
     Counts are combined before the shuffle and the shuffle spreads a group over all its values.
-    `bucket` is the whole part of the value. A missing value is stored as NaN, which keeps the
-    column non-null: both uses of this table then have the same plan and share one shuffle.
+    `bucket` is the whole part of the value. A missing value is stored as NaN.
     """
     known = F.coalesce(F.col(value), F.lit(float("nan")))
     return (
@@ -71,7 +70,7 @@ def grouped_summary(
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     ranked = (
-        _join_null_safe(counts, wanted, keys, "bucket")
+        _join_null_safe(counts, wanted, [*keys, "bucket"])
         .withColumn("end", F.col("before") + F.sum(present).over(in_order))
         .withColumn("start", F.col("end") - present)
     )
@@ -98,9 +97,12 @@ def grouped_summary(
     )
 
 
-def _join_null_safe(left: DataFrame, right: DataFrame, keys: list[str], plain: str) -> DataFrame:
-    """Equi-join on `plain` and on group keys that may be NULL; keeps the left side's columns."""
-    other = right.withColumnsRenamed({c: f"_r_{c}" for c in (*keys, plain)})
+def _join_null_safe(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
+    """Equi-join on keys that may be NULL; keeps the left side's key columns.
+
+    A plain equality would also add a not-null filter below the left side's aggregate, and the two
+    uses of the value counts would no longer share their shuffle.
+    """
+    other = right.withColumnsRenamed({c: f"_r_{c}" for c in keys})
     on = [F.col(c).eqNullSafe(F.col(f"_r_{c}")) for c in keys]
-    joined = left.join(other, reduce(lambda a, b: a & b, on, F.col(plain) == F.col(f"_r_{plain}")))
-    return joined.drop(*[f"_r_{c}" for c in (*keys, plain)])
+    return left.join(other, reduce(lambda a, b: a & b, on)).drop(*[f"_r_{c}" for c in keys])
