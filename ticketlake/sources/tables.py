@@ -37,12 +37,21 @@ def _iso(ts) -> F.Column:
     return F.concat(F.translate(F.substring(ts.cast("string"), 1, 19), " ", "T"), F.lit(".000"))
 
 
+def spread(scan: DataFrame, *keys: str) -> DataFrame:
+    """Shuffle a scan that has fewer tasks than the session has slots; leave a wide one alone.
+
+    A small file, or one with a single row group, would keep all work up to the next shuffle in
+    one task. `keys` should tell rows apart, so that no value draws many of them to one task.
+    """
+    slots = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(slots, *keys) if scan.rdd.getNumPartitions() < slots else scan
+
+
 def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The joined input; which side is broadcast is left to the sizes Spark sees."""
     t = {name: _table(spark, sf_dir, name) for name in TABLES}
-    stored = t["lineitem"].select(
-        "*", *[F.col(f"_metadata.{m}").alias(n) for n, m in STORED_ROW_ID.items()]
-    )
+    row_id = [F.col(f"_metadata.{m}").alias(n) for n, m in STORED_ROW_ID.items()]
+    stored = spread(t["lineitem"].select("*", *row_id), "l_orderkey", "l_linenumber")
     place = t["nation"].join(t["region"], F.col("n_regionkey") == F.col("r_regionkey"))
     return (
         stored.join(t["orders"], F.col("l_orderkey") == F.col("o_orderkey"))
