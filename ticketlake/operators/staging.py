@@ -91,4 +91,10 @@ def merge_staged(
         .filter(keyed | F.col("_again").isNull())
         .select(*columns)
     )
-    return with_response_hours(newest_rows(earlier.unionByName(new_typed)), extra)
+    # only keys that arrived again are compared; with few new keys (Spark checks the size and
+    # broadcasts them) the rest of `previous` is passed on without a shuffle
+    arrived = new_typed.filter(keyed).select("unique_key").distinct()
+    untouched = earlier.join(arrived, "unique_key", "left_anti").select(*columns)
+    touched = earlier.join(arrived, "unique_key", "left_semi").select(*columns)
+    merged = newest_rows(touched.unionByName(new_typed)).unionByName(untouched)
+    return with_response_hours(merged, extra)
