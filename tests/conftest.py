@@ -23,6 +23,7 @@ def spark(tmp_path_factory):
         "spark.ui.showConsoleProgress": "false",
         "spark.sql.shuffle.partitions": "4",
         "spark.driver.memory": "4g",
+        "spark.sql.codegen.wholeStage": "false",
         "spark.python.sql.dataFrameDebugging.enabled": "false",
         "spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse")),
         "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")),

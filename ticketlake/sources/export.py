@@ -13,12 +13,14 @@ from ticketlake.config import RAW_COLUMNS
 from ticketlake.operators.extract import source_order
 
 
-def write_export(raw: DataFrame, path: str) -> list[dict]:
+def write_export(raw: DataFrame, path: str, row_id: Sequence[str] = ()) -> list[dict]:
     """Sort by the source order across files; returns the index: rows and time span per file.
 
+    `row_id` columns tell equal rows apart, so that many copies of a row spread over several files.
     The index has one row per file, not per record.
     """
-    raw.select(*RAW_COLUMNS).orderBy(*source_order()).write.parquet(path)
+    ordered = raw.orderBy(*source_order(), *row_id)
+    ordered.select(*RAW_COLUMNS).write.parquet(path)
     stored = raw.sparkSession.read.parquet(path)
     index = (
         stored.groupBy(F.col("_metadata.file_path").alias("file"))
