@@ -275,11 +275,12 @@ def gold_row_counts(spark, sf_dir):
 
 
 def src_paged_window(spark, sf_dir):
-    """The whole window through the paged source; the page size follows the table."""
+    """The whole window through the paged source; a page is about a file of the export."""
     raw = raw_requests(spark, sf_dir)
     index = write_export(raw, fresh_dir(spark, "export"), ROW_ID)
     rows = sum(entry["rows"] for entry in index)
-    cfg = replace(CFG, max_rows=rows, page_size=max(10_000, rows // 10_000))
+    largest = max(entry["rows"] for entry in index)
+    cfg = replace(CFG, max_rows=rows, page_size=max(10_000, largest))
     return read_paged(spark, ExportPages(index), cfg, SINCE, rows, UNTIL)
 
 

@@ -173,6 +173,9 @@ def test_paged_read_covers_window_and_limit(spark):
     rows = as_dicts(hourly(30))
     got = paged.read_paged(spark, service(rows), cfg, START + timedelta(hours=2), 20, START + timedelta(hours=40))
     assert sorted(int(r[0]) for r in got.select("unique_key").collect()) == list(range(3, 23))
+    few_tasks = paged.read_paged(spark, service(rows), cfg, None, 25, max_tasks=2)
+    assert few_tasks.rdd.getNumPartitions() == 2
+    assert sorted(int(r[0]) for r in few_tasks.select("unique_key").collect()) == list(range(25))
     everything = paged.read_paged(spark, service(rows), cfg, None, 50_000 // 100)
     assert everything.count() == 30
     assert everything.filter("closed_date is null").count() == 30

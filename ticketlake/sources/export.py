@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
+import pyarrow as pa
 import pyarrow.compute as pc
 import pyarrow.dataset as ds
 from pyspark.sql import DataFrame
@@ -46,23 +47,22 @@ class ExportPages:
 
     def __call__(
         self, since: str | None, until: str | None, columns: Sequence[str], offset: int, size: int
-    ) -> Iterator[dict]:
-        left = size
+    ) -> pa.Table:
+        text = pa.schema([(c, pa.string()) for c in columns])
+        parts, left = [], size
         for entry in self.index:
             if left == 0:
-                return
+                break
             inside = self._rows_inside(entry, since, until)
             if inside <= offset:
                 offset -= inside
                 continue
-            table = self._open(entry).to_table(
-                columns=list(columns), filter=self._window(since, until)
-            )
-            chunk = table.slice(offset, left)
-            for row in chunk.to_pylist():
-                yield {k: v for k, v in row.items() if v is not None}
-            left -= chunk.num_rows
+            window = self._window(since, until)
+            rows = self._open(entry).to_table(columns=list(columns), filter=window)
+            parts.append(rows.slice(offset, left).cast(text))
+            left -= parts[-1].num_rows
             offset = 0
+        return pa.concat_tables([text.empty_table(), *parts])
 
     @staticmethod
     def _open(entry: dict) -> ds.Dataset:

@@ -1,8 +1,8 @@
-"""A windowed, paged service as a Spark data source: one input partition per page.
+"""A windowed, paged service as a Spark data source: every task reads its own pages.
 
 The service is a callable given by the user, `read_page(since, until, columns, offset, size)`,
-which returns at most `size` records (dicts, missing fields left out) of the window, oldest first.
-It runs inside the tasks and must be picklable.
+which returns at most `size` records of the window, oldest first: dicts with missing fields left
+out, or an Arrow table of text columns. It runs inside the tasks and must be picklable.
 """
 
 from __future__ import annotations
@@ -11,6 +11,7 @@ import base64
 import sys
 import time
 from collections.abc import Callable, Iterable, Iterator, Sequence
+from typing import TypeVar
 
 import pyarrow as pa
 from pyspark import cloudpickle
@@ -20,10 +21,15 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 from ticketlake.config import RAW_COLUMNS, LakeConfig
 
 FORMAT = "paged_requests"
+T = TypeVar("T")
 # The responses that are worth another try.
 RETRY_STATUS = (429, 500, 502, 503, 504)
 
-PageReader = Callable[["str | None", "str | None", Sequence[str], int, int], Iterable[dict]]
+# A read is cut into at most this many tasks; beyond it, a task reads several pages in turn.
+MAX_TASKS = 10_000
+
+Records = "Iterable[dict] | pa.Table"
+PageReader = Callable[["str | None", "str | None", Sequence[str], int, int], Records]
 
 
 class TransientPageError(Exception):
@@ -43,18 +49,18 @@ def check_status(status: int) -> None:
 
 
 def read_with_retry(
-    read: Callable[[], Iterable[dict]],
+    read: Callable[[], T],
     max_attempts: int = 5,
     backoff: float = 1.0,
     sleep: Callable[[float], None] = time.sleep,
-) -> list[dict]:
+) -> T:
     """Retry transient failures, waiting twice as long each time; anything else fails at once.
 
     Connection errors and timeouts count as transient.
     """
     for attempt in range(1, max_attempts + 1):
         try:
-            return list(read())
+            return read()
         except (TransientPageError, ConnectionError, TimeoutError) as error:
             if attempt == max_attempts:
                 raise PageReadError(f"no answer after {max_attempts} attempts: {error}") from error
@@ -62,9 +68,19 @@ def read_with_retry(
     raise PageReadError("max_attempts must be at least 1")
 
 
-class Page(InputPartition):
-    def __init__(self, offset: int, size: int):
-        self.offset, self.size = offset, size
+def as_table(records: Records) -> pa.Table:
+    text = pa.schema([(c, pa.string()) for c in RAW_COLUMNS])
+    if isinstance(records, pa.Table):
+        return records.select(text.names).cast(text)
+    rows = list(records)
+    return pa.table([pa.array([r.get(c) for r in rows], pa.string()) for c in text.names], text)
+
+
+class Pages(InputPartition):
+    """Consecutive pages: rows start .. end of the window."""
+
+    def __init__(self, start: int, end: int):
+        self.start, self.end = start, end
 
 
 class PagedReader(DataSourceReader):
@@ -72,24 +88,33 @@ class PagedReader(DataSourceReader):
         self.read_page = cloudpickle.loads(base64.b64decode(options["reader"]))
         self.since, self.until = options.get("since"), options.get("until")
         self.limit, self.page_size = int(options["limit"]), int(options["pagesize"])
+        self.max_tasks = int(options.get("maxtasks", MAX_TASKS))
         self.max_attempts = int(options.get("maxattempts", 5))
         self.backoff = float(options.get("backoff", 1.0))
 
-    def partitions(self) -> list[Page]:
-        """Pages up to the limit; pages past the end of the window come back empty."""
-        starts = range(0, self.limit, self.page_size)
-        return [Page(at, min(self.page_size, self.limit - at)) for at in starts]
-
-    def read(self, page: Page) -> Iterator[pa.RecordBatch]:
-        rows = read_with_retry(
-            lambda: self.read_page(self.since, self.until, RAW_COLUMNS, page.offset, page.size),
-            self.max_attempts,
-            self.backoff,
-        )
-        if len(rows) > page.size:
-            raise PageReadError(f"asked for {page.size} records, got {len(rows)}")
-        text = [pa.array([r.get(c) for r in rows], pa.string()) for c in RAW_COLUMNS]
-        yield pa.RecordBatch.from_arrays(text, names=list(RAW_COLUMNS))
+    def partitions(self) -> list[Pages]:
+        """One page per task, or several if that would be too many tasks."""
+        pages = -(-self.limit // self.page_size)
+        rows_per_task = -(-pages // self.max_tasks) * self.page_size
+        starts = range(0, self.limit, rows_per_task)
+        return [Pages(at, min(at + rows_per_task, self.limit)) for at in starts]
+
+    def read(self, pages: Pages) -> Iterator[pa.RecordBatch]:
+        """Page after page up to the end or the first short page; past the window there is none."""
+        for offset in range(pages.start, pages.end, self.page_size):
+            size = min(self.page_size, pages.end - offset)
+            page = read_with_retry(
+                lambda at=offset, n=size: as_table(
+                    self.read_page(self.since, self.until, RAW_COLUMNS, at, n)
+                ),
+                self.max_attempts,
+                self.backoff,
+            )
+            if page.num_rows > size:
+                raise PageReadError(f"asked for {size} records, got {page.num_rows}")
+            yield from page.to_batches()
+            if page.num_rows < size:
+                return
 
 
 class PagedRequests(DataSource):
@@ -113,10 +138,12 @@ def read_paged(
     until=None,
     max_attempts: int = 5,
     backoff: float = 1.0,
+    max_tasks: int = MAX_TASKS,
 ) -> DataFrame:
     """The oldest `limit` records created after `since` and up to `until`, page by page.
 
-    The window travels to the service, so only matching records are transferred.
+    The window travels to the service, so only matching records are transferred. It is given as
+    arguments, as a lower bound pushed down from a filter would change which rows a limit keeps.
     """
     cfg.check_limit(limit)
     # classes and page readers travel by value: executors need no copy of this package
@@ -131,6 +158,7 @@ def read_paged(
             "pageSize": cfg.page_size,
             "maxAttempts": max_attempts,
             "backoff": backoff,
+            "maxTasks": max_tasks,
         }
         given = {k: str(v) for k, v in options.items() if v is not None}
         return spark.read.format(FORMAT).options(**given).load()
