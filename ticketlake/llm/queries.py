@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ticketlake.llm import exact
+from ticketlake.llm import exact, lines
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -19,6 +19,16 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
 
 
+def _sha256(column: str):
+    return F.sha2(F.col(column).cast("binary"), 256)
+
+
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = lines.drop_repeated_lines(_documents(spark, sf_dir))
+    return rows.select("doc_id", "n_lines", "n_dropped", _sha256("text").alias("kept_sha256"))
+
+
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_exact_dedup": op8_exact_dedup,
+    "op10_line_dedup": op10_line_dedup,
 }
