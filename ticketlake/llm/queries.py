@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ticketlake.llm import exact, lines, sharding
+from ticketlake.llm import exact, lines, sharding, simhash
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -29,6 +29,15 @@ def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# The contract's shingle length and greatest distance in bits.
+SHINGLE, DISTANCE = 3, 3
+
+
+def op3_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    groups = simhash.simhash_groups(_documents(spark, sf_dir), SHINGLE, DISTANCE)
+    return groups.withColumn("fingerprint", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")))
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = exact.duplicate_groups(_documents(spark, sf_dir))
     return groups.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
@@ -45,6 +54,7 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": op1_sharding,
+    "op3_simhash_dedup": op3_simhash_dedup,
     "op8_exact_dedup": op8_exact_dedup,
     "op10_line_dedup": op10_line_dedup,
 }
