@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ticketlake.llm import exact, lines, sharding, simhash
+from ticketlake.llm import exact, lines, quality, sharding, simhash
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -38,6 +38,32 @@ def op3_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.withColumn("fingerprint", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")))
 
 
+# Folds by crc32 of the document id as text: this remainder is held out.
+QUALITY_FOLDS, QUALITY_HELD_OUT, QUALITY_THRESHOLD = 5, 0, 0.3
+
+
+def _held_out(folds: int, remainder: int):
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % folds == remainder
+
+
+def quality_model(spark: SparkSession, sf_dir: str) -> quality.Model:
+    """Learnt from the labels outside the held-out fold, with term statistics of all documents."""
+    docs = _documents(spark, sf_dir).select("doc_id", "text")
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").where(~_held_out(QUALITY_FOLDS, QUALITY_HELD_OUT))
+    labels = labels.select("doc_id", F.col("quality").alias("label"))
+    return quality.fit(docs, labels)
+
+
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _documents(spark, sf_dir).select("doc_id", "text")
+    return quality.score(docs, quality_model(spark, sf_dir)).select(
+        "doc_id",
+        F.coalesce(_held_out(QUALITY_FOLDS, QUALITY_HELD_OUT), F.lit(False)).alias("held_out"),
+        "score",
+        (F.col("score") >= QUALITY_THRESHOLD).cast("int").alias("predicted"),
+    )
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = exact.duplicate_groups(_documents(spark, sf_dir))
     return groups.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
@@ -55,6 +81,7 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": op1_sharding,
     "op3_simhash_dedup": op3_simhash_dedup,
+    "op6_quality": op6_quality,
     "op8_exact_dedup": op8_exact_dedup,
     "op10_line_dedup": op10_line_dedup,
 }
