@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ticketlake.llm import exact, lines, quality, sharding, simhash
+from ticketlake.llm import exact, language, lines, quality, sharding, simhash
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -38,6 +38,19 @@ def op3_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.withColumn("fingerprint", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")))
 
 
+# Folds by crc32 of the document id as text: this remainder is held out.
+LANGUAGE_FOLDS, LANGUAGE_HELD_OUT = 3, 1
+
+
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = F.coalesce(_held_out(LANGUAGE_FOLDS, LANGUAGE_HELD_OUT), F.lit(False))
+    docs = _documents(spark, sf_dir)
+    model = language.fit(docs.where(~held_out).select("text", "lang"))
+    return language.predict(docs.select("doc_id", "text"), model).select(
+        "doc_id", held_out.alias("held_out"), "lang_pred", "score"
+    )
+
+
 # Folds by crc32 of the document id as text: this remainder is held out.
 QUALITY_FOLDS, QUALITY_HELD_OUT, QUALITY_THRESHOLD = 5, 0, 0.3
 
@@ -81,6 +94,7 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": op1_sharding,
     "op3_simhash_dedup": op3_simhash_dedup,
+    "op4_language_id": op4_language_id,
     "op6_quality": op6_quality,
     "op8_exact_dedup": op8_exact_dedup,
     "op10_line_dedup": op10_line_dedup,
