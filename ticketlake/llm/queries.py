@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ticketlake.llm import exact, language, lines, quality, sharding, simhash
+from ticketlake.llm import bpe, exact, language, lines, quality, sharding, simhash
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -86,6 +87,18 @@ def _sha256(column: str):
     return F.sha2(F.col(column).cast("binary"), 256)
 
 
+TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+
+
+def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    shared = bpe.tables(spark, TOKENIZER)
+    ids = bpe.encode(_documents(spark, sf_dir).select("doc_id", "text"), shared)
+    ids = ids.withColumns({"n_tokens": (F.octet_length("ids") / 4).cast("long"), "ids_sha256": F.sha2("ids", 256)})
+    return bpe.decode(ids, shared, text_col="decoded").select(
+        "doc_id", "n_tokens", "ids_sha256", _sha256("decoded").alias("decoded_sha256")
+    )
+
+
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = lines.drop_repeated_lines(_documents(spark, sf_dir))
     return rows.select("doc_id", "n_lines", "n_dropped", _sha256("text").alias("kept_sha256"))
@@ -97,5 +110,6 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_language_id": op4_language_id,
     "op6_quality": op6_quality,
     "op8_exact_dedup": op8_exact_dedup,
+    "op9_bpe": op9_bpe,
     "op10_line_dedup": op10_line_dedup,
 }
