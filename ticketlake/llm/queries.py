@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ticketlake.llm import bpe, exact, language, lines, quality, sharding, simhash
+from ticketlake.llm import bpe, exact, language, lines, quality, sharding, simhash, suffix_dedup
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -52,6 +52,21 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# Bytes of a repeated string.
+REPEAT_BYTES = 100
+
+
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _documents(spark, sf_dir).select("doc_id", "text")
+    return suffix_dedup.repeated_bytes(docs, length=REPEAT_BYTES).select(
+        "row.doc_id",
+        "n_bytes",
+        F.aggregate("spans", F.lit(0).cast("long"), lambda n, x: n + x["end"] - x["start"]).alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 # Folds by crc32 of the document id as text: this remainder is held out.
 QUALITY_FOLDS, QUALITY_HELD_OUT, QUALITY_THRESHOLD = 5, 0, 0.3
 
@@ -108,6 +123,7 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": op1_sharding,
     "op3_simhash_dedup": op3_simhash_dedup,
     "op4_language_id": op4_language_id,
+    "op5_suffix_dedup": op5_suffix_dedup,
     "op6_quality": op6_quality,
     "op8_exact_dedup": op8_exact_dedup,
     "op9_bpe": op9_bpe,
