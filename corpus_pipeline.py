@@ -3,9 +3,17 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ticketlake.config import fresh_dir
-from ticketlake.llm import exact
+from ticketlake.llm import exact, packing, quality, simhash, suffix_dedup
+from ticketlake.llm.queries import DISTANCE, QUALITY_THRESHOLD, REPEAT_BYTES, SHINGLE, quality_model
+
+
+def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that score at least the threshold stay; the labels are those of the source tables."""
+    scored = quality.score(docs, quality_model(spark, sf_dir), score_col="quality_score")
+    return scored.where(F.col("quality_score") >= QUALITY_THRESHOLD).drop("quality_score")
 
 
 def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -13,7 +21,29 @@ def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return exact.drop_duplicates(docs)
 
 
-STAGES = [("exact dedup", exact_stage)]
+def simhash_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of every group of linked fingerprints the document with the smallest id stays."""
+    return simhash.drop_near_duplicates(docs, SHINGLE, DISTANCE)
+
+
+def suffix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Strings that start earlier are cut out of the texts. Every document stays, also an emptied one."""
+    cut = suffix_dedup.without_repeats(docs, length=REPEAT_BYTES)
+    return cut.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+
+
+def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Sequences of byte tokens with their length bucket and batch."""
+    return packing.pack(docs)
+
+
+STAGES = [
+    ("quality classifier", quality_stage),
+    ("exact dedup", exact_stage),
+    ("SimHash near-dedup", simhash_stage),
+    ("suffix-array dedup", suffix_stage),
+    ("packing", packing_stage),
+]
 
 # The stages learn a model and compare bits, which SQL doesn't express; tests hold them against brute force.
 ORACLE_SQL = None

@@ -320,7 +320,16 @@ def _single(windows, blocks, found) -> None:
     _add(found, blocks[late], ranges)
 
 
-def _removed(length: int, result: T.StructType):
+def _inside(text: bytes, start: int, end: int) -> tuple[int, int]:
+    """The range without the characters that it covers in part."""
+    while start < end and text[start] & 0xC0 == 0x80:
+        start += 1
+    while start < end < len(text) and text[end] & 0xC0 == 0x80:
+        end -= 1
+    return start, end
+
+
+def _removed(length: int, whole_characters: bool, result: T.StructType):
     names = result.fieldNames()
 
     def run(docs: pa.Table, found: pa.Table) -> pa.Table:
@@ -345,6 +354,8 @@ def _removed(length: int, result: T.StructType):
                 cover = list(zip(at[np.r_[0, cut + 1]].tolist(), end[np.r_[cut, len(end) - 1]].tolist(), strict=True))
             else:
                 cover = []
+            if whole_characters:
+                cover = [_inside(text, a, b) for a, b in cover]
             spans.append([{"start": a, "end": b} for a, b in cover])
             inner = zip([0, *(b for _, b in cover)], [*(a for a, _ in cover), len(text)], strict=True)
             kept.append(b"".join([text[a:b] for a, b in inner]))
@@ -374,14 +385,18 @@ def _with_blocks(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def repeated_bytes(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    length: int = LENGTH,
+    whole_characters: bool = False,
 ) -> DataFrame:
     """Per input row: row (its other columns), n_bytes, spans removed (start, end), kept (binary).
 
     A byte goes if a string of `length` bytes that covers it also starts earlier: in a document of smaller
     id, or before in the same one. Strings are judged on the input and never cross documents. A null text is
     empty; a null id sorts last; rows that share an id count as one document, in which equal starts are
-    not earlier. An empty table gives an empty result. Whatever else the table holds is passed on in `row`.
+    not earlier. With whole_characters a span leaves the characters that it covers in part. An empty table gives an empty result. Whatever else the table holds is passed on in `row`.
 
     1. Every string has an anchor, its k-gram of smallest hash; blocks of neighbouring documents list
        their anchors once, and k-grams found twice or more are handed back to the blocks.
@@ -423,7 +438,7 @@ def repeated_bytes(
             T.StructField("kept", T.BinaryType()),
         ]
     )
-    out = rows.groupBy("block").cogroup(found.groupBy("block")).applyInArrow(_removed(length, result), result)
+    out = rows.groupBy("block").cogroup(found.groupBy("block")).applyInArrow(_removed(length, whole_characters, result), result)
     return out.drop("order_id")
 
 
@@ -437,3 +452,11 @@ def _copies(copies: DataFrame) -> DataFrame:
             yield from _rows("block long, copies binary", out).to_batches()
 
     return copies.select("block", "doc_id", "digest").mapInArrow(run, "block long, copies binary")
+
+
+def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH) -> DataFrame:
+    """docs with the repeated bytes cut out of the text; every row stays. A character that a cut would part
+    stays whole, so texts remain UTF-8. A null text becomes the empty one."""
+    cut = repeated_bytes(docs, id_col, text_col, length, whole_characters=True)
+    text = F.col("kept").cast("string").alias(text_col)
+    return cut.select(*(text if c == text_col else F.col("row")[c].alias(c) for c in docs.columns))
