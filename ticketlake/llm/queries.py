@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ticketlake.llm import bpe, exact, language, lines, packing, quality, sharding, simhash, suffix_dedup
+from ticketlake.llm import bpe, exact, language, lines, packing, quality, sharding, simhash, suffix_dedup, vector_graph
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -30,6 +30,15 @@ def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+COSINE = 0.95
+
+
+def op2_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet").select("vec_id", "embedding")
+    linked = vector_graph.linked_vectors(vectors, threshold=COSINE)
+    return linked.withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))
+
+
 # The contract's shingle length and greatest distance in bits.
 SHINGLE, DISTANCE = 3, 3
 
@@ -125,6 +134,7 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": op1_sharding,
+    "op2_embedding_dedup": op2_embedding_dedup,
     "op3_simhash_dedup": op3_simhash_dedup,
     "op4_language_id": op4_language_id,
     "op5_suffix_dedup": op5_suffix_dedup,
