@@ -15,7 +15,8 @@ from pyspark.sql import SparkSession
 
 from checks.oracle import ORACLE
 from checks.queries import QUERIES
-from ticketlake.config import SESSION_SETTINGS
+from ticketlake.config import SESSION_SETTINGS, made_dirs
+from ticketlake.sources import fs
 
 
 def session(cores: int = 8) -> SparkSession:
@@ -91,6 +92,8 @@ def main(argv: list[str]) -> int:
             seconds, table = time.time() - start, []
             note = f"{type(error).__name__}: {str(error)[:600]}"
         failures += bool(note)
+        for folder in made_dirs():
+            fs.delete(spark, folder)
         print(f"{name:<28} {len(table):>7} rows {seconds:6.1f} s  {note or 'equal'}", flush=True)
     print(f"{failures} of {len(names)} differ")
     return failures

@@ -2,18 +2,17 @@
 
 from __future__ import annotations
 
-# The columns in source order, the parameters of this input, the rules in order.
-RAW = (
-    "unique_key created_date closed_date resolution_action_updated_date agency complaint_type "
-    "descriptor status incident_zip borough latitude longitude"
-).split()
-SILVER = (
-    "unique_key created_at closed_at updated_at agency complaint_type descriptor status "
-    "incident_zip borough latitude longitude response_hours ingest_date"
-).split()
+from ticketlake.config import MART_NAMES as MARTS
+from ticketlake.config import RAW_COLUMNS as RAW
+from ticketlake.config import SILVER_COLUMNS
+from ticketlake.operators.extract import SOURCE_ORDER as FIRST_IN_ORDER
+from ticketlake.operators.marts import MART_ORDER
+from ticketlake.operators.staging import TIE_BREAK, VERSION_ORDER
+
+# The parameters of this input, the rules in order.
+SILVER = SILVER_COLUMNS
 AREAS = ("AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST")
 RULES = ("non_null_keys", "valid_borough", "closed_not_before_created", "latlon_in_nyc_bbox")
-MARTS = ("response_time_by_borough_month", "top_complaints_by_zip", "sla_breach_rate")
 SINCE, UNTIL = "1996-01-01 00:00:00", "1999-06-30 12:00:00"
 
 RAW_LIST = ", ".join(RAW)
@@ -91,10 +90,7 @@ def typed(source: str, name: str = "typed") -> str:
 def newest(source: str, name: str) -> str:
     order = ", ".join(
         f"{c} DESC NULLS LAST"
-        for c in (
-            "updated_at _ingested_at _batch_id created_at closed_at agency complaint_type "
-            "descriptor status incident_zip borough latitude longitude"
-        ).split()
+        for c in (*VERSION_ORDER, *TIE_BREAK)
     )
     return f"""{name} AS (
     FROM {source} WHERE unique_key IS NULL
@@ -191,10 +187,7 @@ CREATED = "created_date::TIMESTAMP"
 IN_WINDOW = f"{CREATED} > TIMESTAMP '{SINCE}' AND {CREATED} <= TIMESTAMP '{UNTIL}'"
 SOURCE_ORDER = ", ".join(
     f"coalesce({c}, '')"
-    for c in (
-        "created_date unique_key resolution_action_updated_date closed_date agency complaint_type "
-        "descriptor status incident_zip borough latitude longitude"
-    ).split()
+    for c in (*FIRST_IN_ORDER, *(c for c in RAW if c not in FIRST_IN_ORDER))
 )
 DAY_1, DAY_2 = "2024-02-01 00:00:00", "2024-02-02 00:00:00"
 
@@ -336,9 +329,9 @@ ORACLE: dict[str, str] = {
         CROSS JOIN (VALUES (0), (7), (2500)) AS l(lookback_days)"""
     ),
     "watermark_advance": sql(
-        f"""SELECT {AREA} AS area, max({CREATED}) FILTER (line <= 1) AS old,
-        max({CREATED}) FILTER (line > 6) AS seen,
-        max({CREATED}) FILTER (line <= 1 OR line > 6) AS watermark FROM raw GROUP BY area"""
+        f"""SELECT {AREA} AS area, max({CREATED}) FILTER (line <= 3) AS old,
+        max({CREATED}) FILTER (line > 3) AS seen,
+        max({CREATED}) AS watermark FROM raw GROUP BY area"""
     ),
     "rule_keys": sql(f"SELECT {STAGED_LIST} FROM staged WHERE {BROKEN['non_null_keys']}", STAGED),
     "rule_category": sql(f"SELECT {STAGED_LIST} FROM staged WHERE {BROKEN['valid_borough']}", STAGED),
@@ -466,9 +459,10 @@ ORACLE: dict[str, str] = {
     ),
     "report_agency_breach": sql("FROM agencies", *ALL_MARTS, AGENCIES.format(n=8)),
     "report_sla_grid": sql(
-        """FROM (PIVOT (SELECT agency, strftime(month, '%Y-%m') AS label, breach_rate
-                        FROM sla SEMI JOIN agencies USING (agency))
-                 ON label USING first(breach_rate) GROUP BY agency)""",
+        """SELECT agency, strftime(month, '%Y-%m') AS label, breach_rate
+        FROM (SELECT agency, month FROM (SELECT agency FROM agencies),
+              (SELECT DISTINCT month FROM sla SEMI JOIN agencies USING (agency)))
+        LEFT JOIN sla USING (agency, month)""",
         *ALL_MARTS,
         AGENCIES.format(n=10),
     ),
@@ -519,3 +513,38 @@ ORACLE: dict[str, str] = {
         *WITH_STATS,
     ),
 }
+
+BY_DAY = f"""by_day AS (
+    SELECT {RAW_LIST.replace("created_date", "substr(created_date, 1, 10) || 'T00:00:00.000' AS created_date")},
+           TIMESTAMP '{DAY_1}' AS _ingested_at, DATE '2024-02-01' AS ingest_date, 'b' AS _batch_id
+    FROM raw)"""
+REINGESTED = f"""reingested AS (
+    SELECT {RAW_LIST}, if(line <= 3, TIMESTAMP '{DAY_1}', TIMESTAMP '{DAY_2}') AS _ingested_at,
+           DATE '2024-02-01' AS ingest_date, 'b' AS _batch_id
+    FROM raw)"""
+PUBLISHED = (ONE_RUN, staged("one_run"), judged(), marts("staged_silver"))
+
+
+def placed(mart: str) -> str:
+    keys = MART_ORDER[mart]
+    order = ", ".join(f"{k} NULLS LAST" for k in keys)
+    texts = ", ".join(f"{k}::VARCHAR AS key_{i}" for i, k in enumerate(keys))
+    return f"SELECT '{mart}' AS mart, row_number() OVER (ORDER BY {order}) - 1 AS position, {texts} FROM {MART_CTE[mart]}"
+
+
+ORACLE |= {
+    "paged_run": sql(
+        "FROM staged_silver", pulled("window_rows", (IN_WINDOW, DAY_1)), staged("window_rows"), judged()
+    ),
+    "csv_run": ORACLE["silver_published"],
+    "landing_resume": ORACLE["bronze_ingest"],
+    "stream_replay": ORACLE["bronze_ingest"],
+    "limited_runs_complete": sql("SELECT * EXCLUDE (ingest_date) FROM staged_silver", BY_DAY, staged("by_day"), judged()),
+    "merge_older_reingest": sql("FROM staged_silver", REINGESTED, staged("reingested"), judged()),
+    "marts_rebuilt": sql(
+        "SELECT *, 2::BIGINT AS records, 'sla-24' AS marts_run, 'only' AS published_run FROM sla",
+        ONE_RUN, staged("one_run"), judged(), marts("staged_silver", sla=24),
+    ),
+    "lake_report": sql("SELECT * EXCLUDE (bronze_batches) FROM stats", *PUBLISHED, STATS),
+    "gold_order": sql(" UNION ALL ".join(placed(m) for m in MARTS), *PUBLISHED),
+}

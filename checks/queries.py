@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from contextlib import suppress
 from dataclasses import replace
 from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from checks.pages import write_pages
 from ticketlake.config import MART_NAMES, RAW_COLUMNS, LakeConfig, fresh_dir
 from ticketlake.functions.casts import ntz
 from ticketlake.functions.numeric import seconds_between
@@ -18,14 +20,13 @@ from ticketlake.operators.fingerprint import fingerprint
 from ticketlake.operators.versions import latest_versions
 from ticketlake.plans import catalog, report
 from ticketlake.plans.lake import Lake
-from ticketlake.plans.run import frame_fetcher, run
+from ticketlake.plans.run import frame_fetcher, rebuild_marts, run
 from ticketlake.sources import bronze
 from ticketlake.sources.bronze import STORED_ROW_ID
-from ticketlake.sources.export import ExportPages, write_export
 from ticketlake.sources.files import read_csv, read_jsonl, write_jsonl
-from ticketlake.sources.paged import read_paged
+from ticketlake.sources.paged import paged_fetcher, read_paged
 from ticketlake.sources.tables import ORDER_LAKE, raw_only, raw_requests
-from ticketlake.streaming.landing import ingest_new_files
+from ticketlake.streaming.landing import epoch_time, ingest_new_files
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -63,8 +64,9 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
-def stored_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return stored(silver(spark, sf_dir), "silver")
+def stored_silver(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
+    """Silver, or the columns of it that the readers use."""
+    return stored(silver(spark, sf_dir).select(*columns or ["*"]), "silver")
 
 
 def stored_marts(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
@@ -135,7 +137,7 @@ def elapsed_hours(spark, sf_dir):
 
 
 def dedup_latest(spark, sf_dir):
-    """The general form, which needs no stored row ids."""
+    """The general form, for rows that bring no stored row ids."""
     rows = typed(spark, sf_dir)
     kept = latest_versions(rows, "unique_key", staging.VERSION_ORDER, staging.TIE_BREAK)
     return key_text(kept).select("unique_key", "updated_at", "_ingested_at", "_batch_id", "status")
@@ -190,8 +192,8 @@ def watermark_advance(spark, sf_dir):
     area = category(F.col("borough"), CFG.area_aliases).alias("area")
     created = extract.created_at()
     seen = raw.groupBy(area).agg(
-        F.max(F.when(F.col("line") <= 1, created)).alias("old"),
-        F.max(F.when(F.col("line") > 6, created)).alias("seen"),
+        F.max(F.when(F.col("line") <= 3, created)).alias("old"),
+        F.max(F.when(F.col("line") > 3, created)).alias("seen"),
     )
     return seen.withColumn("watermark", extract.advance(F.col("old"), F.col("seen")))
 
@@ -255,16 +257,19 @@ def gold_top_complaints(spark, sf_dir):
     return marts.top_complaints(silver(spark, sf_dir))
 
 
+SLA_COLUMNS = ("unique_key", "agency", "created_at", "closed_at", "response_hours")
+
+
 def sla_flagged(spark, sf_dir):
-    return marts.sla_flagged(stored_silver(spark, sf_dir), 72)
+    return marts.sla_flagged(stored_silver(spark, sf_dir, *SLA_COLUMNS), 72)
 
 
 def gold_sla_breach_72(spark, sf_dir):
-    return marts.sla_breach(stored_silver(spark, sf_dir), 72)
+    return marts.sla_breach(stored_silver(spark, sf_dir, *SLA_COLUMNS), 72)
 
 
 def gold_sla_breach_24(spark, sf_dir):
-    return marts.sla_breach(stored_silver(spark, sf_dir), 24)
+    return marts.sla_breach(stored_silver(spark, sf_dir, *SLA_COLUMNS), 24)
 
 
 def gold_row_counts(spark, sf_dir):
@@ -275,13 +280,35 @@ def gold_row_counts(spark, sf_dir):
 
 
 def src_paged_window(spark, sf_dir):
-    """The whole window through the paged source; a page is about a file of the export."""
-    raw = raw_requests(spark, sf_dir)
-    index = write_export(raw, fresh_dir(spark, "export"), ROW_ID)
-    rows = sum(entry["rows"] for entry in index)
-    largest = max(entry["rows"] for entry in index)
-    cfg = replace(CFG, max_rows=rows, page_size=max(10_000, largest))
-    return read_paged(spark, ExportPages(index), cfg, SINCE, rows, UNTIL)
+    """The whole window through the paged source; its bounds are given as filters."""
+    pages = write_pages(raw_requests(spark, sf_dir), SINCE, UNTIL, CFG.page_size, ROW_ID)
+    created = F.col("created_date")
+    return read_paged(spark, pages, CFG).filter((created > SINCE) & (created <= UNTIL))
+
+
+def paged_run(spark, sf_dir):
+    """A lake run whose source is the paged service, read to its end without a limit."""
+    lake, until = new_lake(spark), datetime.fromisoformat(UNTIL)
+    pages = write_pages(raw_requests(spark, sf_dir), SINCE, UNTIL, CFG.page_size, ROW_ID)
+    since = datetime.fromisoformat(SINCE)
+    run(lake, paged_fetcher(pages, CFG), source="pages", since=since, until=until, run_id="only", ingested_at=DAY_1, cfg=CFG)
+    return lake.silver()
+
+
+def csv_run(spark, sf_dir):
+    """A lake run over CSV files whose headers differ in order; one of them lacks columns that are empty."""
+    lake, raw, root = new_lake(spark), raw_requests(spark, sf_dir), fresh_dir(spark, "csv")
+    plain = {"header": True, "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    still_open = F.col("closed_date").isNull()
+    parts = {
+        "a": raw.filter(~still_open & (F.col("line") <= 3)).select(*RAW_COLUMNS),
+        "b": raw.filter(~still_open & (F.col("line") > 3)).select(*reversed(RAW_COLUMNS)),
+        "c": raw.filter(still_open).select(*sorted(set(RAW_COLUMNS) - {"closed_date"})),
+    }
+    for name, rows in parts.items():
+        rows.write.csv(f"{root}/{name}", **plain)
+    run_lake(lake, read_csv(spark, f"{root}/*"), "only", DAY_1)
+    return lake.silver()
 
 
 def src_csv_roundtrip(spark, sf_dir):
@@ -312,6 +339,15 @@ def bronze_ingest(spark, sf_dir):
     return bronze.scan(spark, root).drop("_batch_id")
 
 
+def landing_resume(spark, sf_dir):
+    """An attempt that stopped half way left a part of the rows; the next one stores all of them."""
+    root, raw = fresh_dir(spark, "bronze"), raw_requests(spark, sf_dir)
+    batch = fingerprint(raw).first()["batch_id"]
+    write_jsonl(raw.filter("line = 1"), f"{root}/landing/{batch}")
+    _ingest(raw, root, DAY_1)
+    return bronze.scan(spark, root).drop("_batch_id")
+
+
 def bronze_reingest_idempotent(spark, sf_dir):
     """The same rows in another order on the same day replace their own batch."""
     root, raw = fresh_dir(spark, "bronze"), raw_requests(spark, sf_dir)
@@ -350,6 +386,14 @@ def stream_available_now(spark, sf_dir):
     return bronze.scan(spark, root).drop("_batch_id")
 
 
+def stream_replay(spark, sf_dir):
+    """A micro-batch that is replayed a day later replaces what its first attempt stored."""
+    root, times, raw = fresh_dir(spark, "bronze"), fresh_dir(spark, "times"), raw_requests(spark, sf_dir)
+    for now in (DAY_1, DAY_2):
+        _ingest(raw, root, epoch_time(spark, times, 0, now))
+    return bronze.scan(spark, root).drop("_batch_id")
+
+
 # ---------------------------------------------------------------- runs
 
 
@@ -357,16 +401,10 @@ def run_state_roundtrip(spark, sf_dir):
     """Two records; the newest is the state a run starts from."""
     lake = new_lake(spark)
     newest = newest_created(spark, sf_dir).first()["newest"]
-    blank = dict.fromkeys(
-        ("batch_id", "silver_rows", "good_rows", "quarantined", "fail_rate", "threshold")
-    )
-    for seq, watermark in ((1, EPOCH), (2, newest)):
-        lake.record(
-            seq, **blank, run_id=f"r{seq}", status="published", source="orders", since=EPOCH,
-            fetched=seq, rule_failures={}, gold_rows={"m": seq}, watermark=watermark,
-            published_run=f"r{seq}",
-        )
-    newest_record = lake.run_log().filter(F.col("seq") == lake.state().seq)
+    for n, watermark in ((1, EPOCH), (2, newest)):
+        values = {"run_id": f"r{n}", "published_run": f"r{n}", "since": EPOCH, "fetched": n, "watermark": watermark}
+        lake.record(lake.state(), **values)
+    newest_record = lake.run_log().filter(F.col("seq") == lake.state()["seq"])
     return newest_record.select("seq", "run_id", "since", "watermark", "published_run", "fetched")
 
 
@@ -423,10 +461,8 @@ def gate_failure_outcome(spark, sf_dir):
     """A failed run keeps its evidence and moves neither the visible run nor the watermark."""
     lake, (early, late) = new_lake(spark), early_and_late(spark, sf_dir)
     run_lake(lake, early, "good", DAY_1, until=datetime(1998, 1, 1))
-    try:
+    with suppress(gate.GateClosed):
         run_lake(lake, late, "bad", DAY_2, replace(CFG, threshold=0.001))
-    except gate.QualityGateError:
-        pass
     evidence = lake.quarantine("bad").agg(F.count(F.lit(1)).alias("evidence_rows"))
     visible = lake.silver().agg(F.count(F.lit(1)).alias("visible_rows"))
     bronze_rows = lake.bronze().agg(F.count(F.lit(1)).alias("bronze_rows"))
@@ -438,10 +474,8 @@ def gate_recovery(spark, sf_dir):
     """Corrected versions of the rejected requests let the next run pass under a 1 % gate."""
     lake, raw = new_lake(spark), raw_only(raw_requests(spark, sf_dir))
     strict = replace(CFG, threshold=0.01)
-    try:
+    with suppress(gate.GateClosed):
         run_lake(lake, raw, "bad", DAY_1, strict)
-    except gate.QualityGateError:
-        pass
     missing = F.lit(None).cast("string")
     fixes = {
         "closed_date": missing,
@@ -459,6 +493,63 @@ def gate_recovery(spark, sf_dir):
     return key_text(lake.quarantine())
 
 
+def limited_runs_complete(spark, sf_dir):
+    """Runs with a limit that cuts among equal creation times, then one without: nothing is missing."""
+    lake, raw = new_lake(spark), raw_requests(spark, sf_dir)
+    # creation times by the day, so that every cut falls among equal ones
+    days = F.concat(F.substring("created_date", 1, 10), F.lit("T00:00:00.000"))
+    raw = stored(raw.withColumn("created_date", days), "days")
+    run_lake(lake, raw, "first", DAY_1, limit=20_000)
+    run_lake(lake, raw, "second", DAY_2, limit=5, merge=True)
+    run_lake(lake, raw, "third", DAY_3, merge=True)
+    return lake.silver().drop("ingest_date")
+
+
+def merge_older_reingest(spark, sf_dir):
+    """A batch that comes back with an earlier ingest time: merging gives what a rebuild gives."""
+    lake, (early, late) = new_lake(spark), early_and_late(spark, sf_dir)
+    always = replace(CFG, lookback_days=20_000)
+    run_lake(lake, early, "first", DAY_2, always, ingest_date=DAY_1.date())
+    run_lake(lake, late, "second", DAY_2, always, ingest_date=DAY_1.date(), merge=True)
+    run_lake(lake, early, "again", DAY_1, always, ingest_date=DAY_1.date(), merge=True)
+    return lake.silver()
+
+
+def marts_rebuilt(spark, sf_dir):
+    """The SLA mart under another limit: a record of its own, all marts of one id, the run as it was."""
+    lake = new_lake(spark)
+    run_lake(lake, raw_requests(spark, sf_dir), "only", DAY_1)
+    rebuild_marts(lake, replace(CFG, sla_hours=24), "sla-24")
+    log = lake.run_log().groupBy().agg(
+        F.count(F.lit(1)).alias("records"), F.max_by("marts_run", "seq").alias("marts_run"), F.max_by("published_run", "seq").alias("published_run")
+    )
+    return lake.mart("sla_breach_rate").crossJoin(F.broadcast(log))  # one row
+
+
+def lake_report(spark, sf_dir):
+    """Everything the report quotes, from a published lake."""
+    lake = new_lake(spark)
+    run_lake(lake, raw_requests(spark, sf_dir), "only", DAY_1)
+    return report.lake_stats(lake, list(rules())).drop("bronze_batches")
+
+
+def gold_order(spark, sf_dir):
+    """Each mart's rows numbered in display order by where they stand in the sorted result."""
+    lake = new_lake(spark)
+    run_lake(lake, raw_requests(spark, sf_dir), "only", DAY_1)
+    placed = None
+    for name, keys in marts.MART_ORDER.items():
+        path = fresh_dir(spark, name)
+        marts.in_order(lake.mart(name), name).coalesce(1).write.parquet(path)
+        rows = spark.read.parquet(path).select(
+            F.lit(name).alias("mart"),
+            F.col("_metadata.row_index").alias("position"),
+            *[F.col(k).cast("string").alias(f"key_{i}") for i, k in enumerate(keys)],
+        )
+        placed = rows if placed is None else placed.unionByName(rows)
+    return placed
+
+
 def silver_published(spark, sf_dir):
     lake = new_lake(spark)
     run_lake(lake, raw_requests(spark, sf_dir), "only", DAY_1, sort_silver=True)
@@ -484,7 +575,8 @@ def catalog_tables(spark, sf_dir):
 
 
 def report_bronze_stats(spark, sf_dir):
-    return report.bronze_stats(raw_requests(spark, sf_dir))
+    raw = raw_requests(spark, sf_dir).select("unique_key", "_batch_id")
+    return report.bronze_stats(stored(raw, "keys"))
 
 
 def report_silver_stats(spark, sf_dir):
@@ -527,7 +619,7 @@ def report_stats(spark, sf_dir):
     all_judged = stored(judged(spark, sf_dir), "judged")
     good = gate.good(all_judged)
     built = {n: stored(m, n) for n, m in marts.build_marts(good, CFG).items()}
-    raw = raw_requests(spark, sf_dir)
+    raw = stored(raw_requests(spark, sf_dir).select("unique_key", "_batch_id"), "keys")
     return report.stats(
         raw, good, gate.quarantined(all_judged), built, list(rules()), CFG.threshold, "orders"
     )
@@ -580,12 +672,16 @@ QUERIES: dict[str, Query] = {
     "gold_sla_breach_24": gold_sla_breach_24,
     "gold_row_counts": gold_row_counts,
     "src_paged_window": src_paged_window,
+    "paged_run": paged_run,
+    "csv_run": csv_run,
     "src_csv_roundtrip": src_csv_roundtrip,
     "landing_jsonl_roundtrip": landing_jsonl_roundtrip,
     "batch_fingerprint": batch_fingerprint,
     "bronze_ingest": bronze_ingest,
     "bronze_reingest_idempotent": bronze_reingest_idempotent,
+    "landing_resume": landing_resume,
     "bronze_scan": bronze_scan,
+    "stream_replay": stream_replay,
     "stream_available_now": stream_available_now,
     "run_state_roundtrip": run_state_roundtrip,
     "incremental_two_runs": incremental_two_runs,
@@ -594,6 +690,11 @@ QUERIES: dict[str, Query] = {
     "rerun_idempotent": rerun_idempotent,
     "gate_failure_outcome": gate_failure_outcome,
     "gate_recovery": gate_recovery,
+    "limited_runs_complete": limited_runs_complete,
+    "merge_older_reingest": merge_older_reingest,
+    "marts_rebuilt": marts_rebuilt,
+    "lake_report": lake_report,
+    "gold_order": gold_order,
     "catalog_tables": catalog_tables,
     "report_bronze_stats": report_bronze_stats,
     "report_silver_stats": report_silver_stats,

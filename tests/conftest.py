@@ -5,10 +5,11 @@ from datetime import date, datetime, timedelta
 import pytest
 from pyspark.sql import SparkSession
 
-from ticketlake.config import RAW_COLUMNS, RAW_SCHEMA, SESSION_SETTINGS, LakeConfig, fresh_dir
+from ticketlake.config import RAW_COLUMNS, RAW_SCHEMA, SESSION_SETTINGS, LakeConfig, fresh_dir, made_dirs
 from ticketlake.operators import gate, staging
 from ticketlake.plans.lake import Lake
 from ticketlake.plans.run import frame_fetcher, run
+from ticketlake.sources import fs
 from ticketlake.sources.bronze import with_lineage
 
 T0 = datetime(2024, 4, 1)
@@ -23,7 +24,6 @@ def spark(tmp_path_factory):
         "spark.ui.showConsoleProgress": "false",
         "spark.sql.shuffle.partitions": "4",
         "spark.driver.memory": "4g",
-        "spark.sql.codegen.wholeStage": "false",
         "spark.python.sql.dataFrameDebugging.enabled": "false",
         "spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse")),
         "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")),
@@ -33,45 +33,39 @@ def spark(tmp_path_factory):
     session = builder.getOrCreate()
     session.sparkContext.setLogLevel("ERROR")
     yield session
+    for folder in made_dirs():
+        fs.delete(session, folder)
     session.stop()
 
 
-def record(
-    key=1,
-    created="2024-03-01T10:00:00.000",
-    closed=None,
-    updated=None,
-    agency="NYPD",
-    complaint_type="Illegal Parking",
-    descriptor="Blocked Hydrant",
-    incident_zip="10001",
-    borough="MANHATTAN",
-    latitude="40.75",
-    longitude="-73.99",
-):
-    """A raw row; None means the field is absent."""
-    return (
-        None if key is None else str(key),
-        created,
-        closed,
-        updated or closed or created,
-        agency,
-        complaint_type,
-        descriptor,
-        "Closed" if closed else "Open",
-        incident_zip,
-        borough,
-        latitude,
-        longitude,
-    )
+PLAIN = {
+    "created_date": "2024-03-11T08:30:00.000",
+    "agency": "PARKS",
+    "complaint_type": "Fallen Tree",
+    "descriptor": "Branch",
+    "incident_zip": "11375",
+    "borough": "QUEENS",
+    "latitude": "40.72",
+    "longitude": "-73.85",
+}
+
+
+def ticket(key=1, **fields):
+    """The plain raw row with some fields changed (None: absent). It was last touched at the newest of its times."""
+    row = PLAIN | {"unique_key": None if key is None else str(key)} | fields
+    times = [row[c] for c in ("created_date", "closed_date") if row.get(c)]
+    row = {"resolution_action_updated_date": max(times, default=None), **row}
+    row["status"] = "Closed" if row.get("closed_date") else "Open"
+    return tuple(row.get(c) for c in RAW_COLUMNS)
 
 
 def iso(moment: datetime) -> str:
     return moment.isoformat(timespec="milliseconds")
 
 
-def closed_after(key, hours, created=datetime(2024, 3, 1), **more):
-    return record(key, created=iso(created), closed=iso(created + timedelta(hours=hours)), **more)
+def lasting(key, hours, start=datetime(2024, 3, 4), **fields):
+    """A ticket that was closed so many hours after its start."""
+    return ticket(key, created_date=iso(start), closed_date=iso(start + timedelta(hours=hours)), **fields)
 
 
 @pytest.fixture
@@ -143,4 +137,4 @@ def rows_of(df, *columns):
     return sorted(tuple(r) for r in df.select(*columns).collect())
 
 
-__all__ = ["RAW_COLUMNS", "closed_after", "date", "iso", "record", "rows_of"]
+__all__ = ["RAW_COLUMNS", "date", "iso", "lasting", "rows_of", "ticket"]

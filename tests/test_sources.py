@@ -1,20 +1,21 @@
 from __future__ import annotations
 
 import json
+import random
 from datetime import date, datetime, timedelta
 from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
-from tests.conftest import T0, record, rows_of
+from tests.conftest import T0, rows_of, ticket
+from checks.pages import write_pages
 from ticketlake.config import RAW_COLUMNS, LakeConfig, fresh_dir, shared_root
 from ticketlake.operators import extract
 from ticketlake.operators.fingerprint import fingerprint
 from ticketlake.sources import bronze, paged
-from ticketlake.sources.export import ExportPages, write_export
 from ticketlake.sources.files import read_csv, read_jsonl, write_jsonl
-from ticketlake.streaming.landing import ingest_new_files
+from ticketlake.streaming.landing import epoch_time, ingest_new_files
 
 CFG = LakeConfig()
 START = datetime(2024, 1, 1)
@@ -25,7 +26,7 @@ def at(minutes):
 
 
 def hourly(n):
-    return [record(i, created=at(60 * i)) for i in range(n)]
+    return [ticket(i, created_date=at(60 * i)) for i in range(n)]
 
 
 def ingest(rows, root, when=T0, day=date(2024, 3, 5)):
@@ -50,9 +51,25 @@ def test_csv_is_read_by_header_name_and_empty_cells_are_missing(spark, tmp_path)
     ]
 
 
+def test_files_with_other_headers_are_read_by_name(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("unique_key,agency,created_date\n1,HPD,2024-03-02T00:00:00.000\n")
+    (tmp_path / "b.csv").write_text('created_date,agency,"unique_key"\n2024-03-03T00:00:00.000,DOT,2\n')
+    (tmp_path / "c.csv").write_text("")
+    got = rows_of(read_csv(spark, str(tmp_path)), "unique_key", "agency", "created_date", "borough")
+    assert got == [("1", "HPD", "2024-03-02T00:00:00.000", None), ("2", "DOT", "2024-03-03T00:00:00.000", None)]
+
+
+@pytest.mark.parametrize("line", ["1,2,3", "1"])
+def test_a_line_that_does_not_fit_its_header_fails(spark, tmp_path, line):
+    file = tmp_path / "in.csv"
+    file.write_text(f"unique_key,agency\n{line}\n")
+    with pytest.raises(Exception, match="MALFORMED|FAILFAST|malformed"):
+        read_csv(spark, str(file)).collect()
+
+
 def test_landing_lines_have_sorted_present_fields(spark, raw, tmp_path):
     path = str(tmp_path / "out")
-    rows = raw([record(1), record(None, closed="2024-03-02T00:00:00.000")])
+    rows = raw([ticket(1), ticket(None, closed_date="2024-03-02T00:00:00.000")])
     write_jsonl(rows.coalesce(1), path)
     text = next(Path(path).glob("part-*.json")).read_text().splitlines()
     first = json.loads(text[0])
@@ -75,14 +92,14 @@ def test_numbers_stay_text_and_malformed_lines_fail(spark, tmp_path):
 
 
 def test_window_is_open_at_the_start_and_closed_at_the_end(raw):
-    rows = raw([*hourly(6), record(99, created="soon", updated=at(0)), record(98, created=None, updated=at(0))])
+    rows = raw([*hourly(6), ticket(99, created_date="soon", resolution_action_updated_date=at(0)), ticket(98, created_date=None, resolution_action_updated_date=at(0))])
     got = extract.in_window(rows, START + timedelta(hours=1), START + timedelta(hours=4))
     assert rows_of(got, "unique_key") == [("2",), ("3",), ("4",)]
 
 
 def test_first_rows_and_pages_follow_the_source_order(raw):
-    rows = raw([record("b", created=at(0)), record(None, created=at(0)), record("a", created=at(5)),
-                record("a", created=at(0), updated=at(9)), record("a", created=at(0), updated=at(8))])
+    rows = raw([ticket("b", created_date=at(0)), ticket(None, created_date=at(0)), ticket("a", created_date=at(5)),
+                ticket("a", created_date=at(0), resolution_action_updated_date=at(9)), ticket("a", created_date=at(0), resolution_action_updated_date=at(8))])
     got = [(r[0], r[1][-9:-4]) for r in extract.first_n(rows, 4).select("unique_key", "resolution_action_updated_date").collect()]
     assert got == [(None, "00:00"), ("a", "08:00"), ("a", "09:00"), ("b", "00:00")]
     assert [r[0] for r in extract.page(rows, 3, 10).select("unique_key").collect()] == ["b", "a"]
@@ -113,24 +130,26 @@ def test_fingerprint_ignores_order_and_partitioning_but_not_copies(raw):
 
 def test_ingest_keeps_text_and_adds_lineage(spark, raw):
     root = fresh_dir(spark, "bronze")
-    batch = ingest(raw([record(7, latitude="40.70"), record(8, created=at(9))]), root)
-    assert (batch.rows, batch.newest_created) == (2, datetime(2024, 3, 1, 10))
+    batch = ingest(raw([ticket(7, latitude="40.70"), ticket(8, created_date=at(9))]), root)
+    assert (batch.rows, batch.newest) == (2, datetime(2024, 3, 11, 8, 30))
     row = bronze.scan(spark, root).filter("unique_key = '7'").first()
     assert (row["latitude"], row["closed_date"], row["_source"]) == ("40.70", None, "test")
     assert (row["_ingested_at"], row["ingest_date"], row["_batch_id"]) == (T0, date(2024, 3, 5), batch.batch_id)
-    assert read_jsonl(spark, bronze.landing_path(root, batch.batch_id)).count() == 2
-    assert bronze.batches(spark, root) == [("2024-03-05", batch.batch_id)]
+    assert read_jsonl(spark, batch.landing).count() == 2
+    assert rows_of(bronze.batches(bronze.scan(spark, root)), "ingest_date", "_batch_id") == [
+        (date(2024, 3, 5), batch.batch_id)
+    ]
 
 
 def test_the_same_rows_replace_their_own_batch_only(spark, raw):
     root = fresh_dir(spark, "bronze")
     first = ingest(raw(hourly(20)), root)
-    other = ingest(raw([record(500)]), root)
+    other = ingest(raw([ticket(500)]), root)
     again = ingest(raw(hourly(20)[::-1]), root, when=T0 + timedelta(hours=1))
     next_day = ingest(raw(hourly(20)), root, day=date(2024, 3, 6))
     assert first.batch_id == again.batch_id == next_day.batch_id != other.batch_id
-    assert len(bronze.batches(spark, root)) == 3
     stored = bronze.scan(spark, root)
+    assert bronze.batches(stored).count() == 3
     assert stored.count() == 41
     refreshed = stored.filter((F.col("ingest_date") == "2024-03-05") & (F.col("unique_key") == "3"))
     assert refreshed.first()["_ingested_at"] == T0 + timedelta(hours=1)
@@ -139,7 +158,7 @@ def test_the_same_rows_replace_their_own_batch_only(spark, raw):
 def test_no_rows_write_nothing(spark, raw):
     root = fresh_dir(spark, "bronze")
     batch = ingest(raw([]), root)
-    assert (batch.batch_id, batch.rows, batch.path) == (None, 0, None)
+    assert batch == bronze.Batch(0)
     with pytest.raises(bronze.NoBronzeData):
         bronze.scan(spark, root)
 
@@ -151,10 +170,13 @@ def test_shared_folder_comes_from_the_session(spark):
 # ---------------------------------------------------------------- paged source
 
 
-def service(rows, calls=None):
-    """A page reader over rows in source order."""
+def service(rows, asked=None):
+    """A page reader over rows in source order; notes in a file what it was asked for."""
 
     def read_page(since, until, columns, offset, size):
+        if asked:
+            with open(asked, "a") as notes:
+                notes.write(f"{since} {until} {offset}\n")
         inside = [
             r for r in rows
             if (since is None or r["created_date"] > since) and (until is None or r["created_date"] <= until)
@@ -168,56 +190,71 @@ def as_dicts(rows):
     return [dict(zip(RAW_COLUMNS, r, strict=True)) for r in rows]
 
 
-def test_paged_read_covers_window_and_limit(spark):
-    cfg = LakeConfig(page_size=7)
-    rows = as_dicts(hourly(30))
-    got = paged.read_paged(spark, service(rows), cfg, START + timedelta(hours=2), 20, START + timedelta(hours=40))
-    assert sorted(int(r[0]) for r in got.select("unique_key").collect()) == list(range(3, 23))
-    few_tasks = paged.read_paged(spark, service(rows), cfg, None, 25, max_tasks=2)
-    assert few_tasks.rdd.getNumPartitions() == 2
-    assert sorted(int(r[0]) for r in few_tasks.select("unique_key").collect()) == list(range(25))
-    everything = paged.read_paged(spark, service(rows), cfg, None, 50_000 // 100)
-    assert everything.count() == 30
-    assert everything.filter("closed_date is null").count() == 30
-
-
-def test_paged_read_of_an_export_equals_the_window(spark, raw):
-    rows = raw(hourly(100)).repartition(5)
-    path = fresh_dir(spark, "export")
-    index = write_export(rows, path)
-    pages = ExportPages(index)
-    got = paged.read_paged(spark, pages, LakeConfig(page_size=9), at(60 * 3), 500, at(60 * 70))
-    assert got.exceptAll(extract.in_window(rows, at(180), at(4200))).count() == 0
-    assert got.count() == 67
-
-
-def test_retry_waits_twice_as_long_each_time():
-    waits, answers = [], iter([503, 429, 200])
-
-    def read():
-        paged.check_status(next(answers))
-        return [{"unique_key": "1"}]
-
-    assert paged.read_with_retry(read, sleep=waits.append) == [{"unique_key": "1"}]
-    assert waits == [1.0, 2.0]
-
-
-@pytest.mark.parametrize(("status", "tries"), [(500, 3), (400, 1)])
-def test_retry_gives_up_after_max_attempts_and_at_once_on_client_errors(status, tries):
-    calls = []
-
-    def read():
-        calls.append(1)
+def keys(table):
+    return sorted(int(r[0]) for r in table.select("unique_key").collect())
+
+
+@pytest.mark.parametrize("n", [0, 1, 7, 8, 30, 49])
+@pytest.mark.parametrize("streams", [1, 3, 64])
+def test_a_window_of_unknown_size_is_read_to_its_end(spark, tmp_path, n, streams):
+    notes = tmp_path / "asked"
+    read = service(as_dicts(hourly(n)), str(notes))
+    assert keys(paged.read_paged(spark, read, LakeConfig(page_size=7), streams=streams)) == list(range(n))
+    offsets = [int(line.split()[-1]) for line in notes.read_text().splitlines()]
+    assert len(offsets) == len(set(offsets))  # no page twice
+    assert sum(o >= n for o in offsets) <= streams  # at most one request a task finds nothing
+
+
+def test_a_limit_takes_the_oldest_of_the_window(spark):
+    rows, cfg = as_dicts(hourly(30)), LakeConfig(page_size=7)
+    start, end = START + timedelta(hours=2), START + timedelta(hours=40)
+    assert keys(paged.read_paged(spark, service(rows), cfg, start, end, 20)) == list(range(3, 23))
+    assert keys(paged.read_paged(spark, service(rows), cfg, limit=14, streams=1)) == list(range(14))
+    for limit in (0, cfg.max_rows + 1):
+        with pytest.raises(ValueError):
+            paged.read_paged(spark, service(rows), cfg, limit=limit)
+
+
+def test_bounds_in_a_filter_travel_to_the_service(spark, tmp_path):
+    notes, rows = tmp_path / "asked", as_dicts(hourly(30))
+    created = F.col("created_date")
+    table = paged.read_paged(spark, service(rows, str(notes)), LakeConfig(page_size=50), streams=1)
+    assert keys(table.filter((created > at(60 * 4)) & (created <= at(60 * 9)))) == list(range(5, 10))
+    assert {line.rsplit(" ", 1)[0] for line in notes.read_text().splitlines()} == {f"{at(240)} {at(540)}"}
+    limited = paged.read_paged(spark, service(rows), LakeConfig(), limit=10)
+    assert keys(limited.filter(created > at(60 * 4))) == list(range(5, 10))  # a limit keeps its rows
+
+
+def test_stored_pages_make_up_the_window(spark, raw):
+    rows = raw([*hourly(100), *[ticket(7, created_date=at(60 * 7))] * 20]).repartition(5)
+    pages = write_pages(rows, at(180), at(4200), 9)
+    got = paged.read_paged(spark, pages, LakeConfig(page_size=9), at(180), at(4200))
+    want = extract.in_window(rows, at(180), at(4200))
+    assert got.exceptAll(want).count() == want.exceptAll(got).count() == 0
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_failures_that_pass_are_asked_again_on_schedule(seed):
+    """Against a plain reading of random schedules and answers."""
+    rng = random.Random(seed)
+    delays = [rng.randrange(1, 9) for _ in range(rng.randrange(5))]
+    statuses = [rng.choice([*paged.RETRY_STATUS, 200, 404, "lost"]) for _ in range(8)]
+    answers, waits = iter(statuses), []
+
+    def request():
+        status = next(answers)
+        if status == "lost":
+            raise ConnectionError
         paged.check_status(status)
+        return status
 
-    with pytest.raises(paged.PageReadError):
-        paged.read_with_retry(read, max_attempts=3, sleep=lambda _: None)
-    assert len(calls) == tries
-
-
-def test_paged_limit_is_capped(spark):
-    with pytest.raises(ValueError):
-        paged.read_paged(spark, service([]), CFG, None, 50_001)
+    tries = next((i for i, s in enumerate(statuses) if s in (200, 404)), 99)
+    if tries > len(delays) or statuses[tries] == 404:
+        with pytest.raises(paged.PageReadError):
+            paged.patiently(request, delays, waits.append)
+    else:
+        assert paged.patiently(request, delays, waits.append) == 200
+    assert waits == delays[:tries]
 
 
 # ---------------------------------------------------------------- streaming
@@ -231,6 +268,13 @@ def test_stream_takes_every_file_once(spark, raw):
 
     write_jsonl(raw(hourly(10)), f"{drops}/a")
     assert (start(), start()) == (10, 0)
-    write_jsonl(raw([record(100)]), f"{drops}/b")
+    write_jsonl(raw([ticket(100)]), f"{drops}/b")
     assert start() == 1
     assert bronze.scan(spark, root).count() == 11
+
+
+def test_a_replayed_epoch_keeps_its_first_time(spark):
+    times = fresh_dir(spark, "times")
+    assert epoch_time(spark, times, 3, T0) == T0
+    assert epoch_time(spark, times, 3, T0 + timedelta(days=2)) == T0
+    assert epoch_time(spark, times, 4, T0 + timedelta(days=2)) == T0 + timedelta(days=2)

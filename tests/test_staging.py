@@ -6,7 +6,7 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from tests.conftest import T0, closed_after, record, rows_of
+from tests.conftest import T0, lasting, rows_of, ticket
 from ticketlake.config import SILVER_SCHEMA, LakeConfig, fresh_dir
 from ticketlake.operators import staging
 from ticketlake.sources import bronze
@@ -17,53 +17,53 @@ LATER = T0 + timedelta(days=1)
 
 
 def test_schema_is_the_declared_one(stage):
-    got = [(f.name, f.dataType) for f in stage([record(1)]).schema.fields]
+    got = [(f.name, f.dataType) for f in stage([ticket(1)]).schema.fields]
     assert got == [(f.name, f.dataType) for f in SILVER_SCHEMA.fields]
 
 
 @pytest.mark.parametrize("reverse", [False, True])
 def test_latest_version_wins_in_any_arrival_order(bronze_of, reverse):
-    first, second = [record(1)], [record(1, closed="2024-03-02T10:00:00.000")]
+    first, second = [ticket(1)], [lasting(1, 31.5, start=datetime(2024, 3, 11, 8, 30))]
     order = [second, first] if reverse else [first, second]
     out = staging.staged(bronze_of((order[0], T0), (order[1], LATER)), CFG)
-    assert rows_of(out, "unique_key", "status", "response_hours") == [(1, "Closed", 24.0)]
+    assert rows_of(out, "unique_key", "status", "response_hours") == [(1, "Closed", 31.5)]
 
 
 def test_equal_update_times_keep_the_later_ingest(bronze_of):
     out = staging.staged(
-        bronze_of(([record(1, agency="A")], LATER), ([record(1, agency="B")], T0)), CFG
+        bronze_of(([ticket(1, agency="A")], LATER), ([ticket(1, agency="B")], T0)), CFG
     )
     assert rows_of(out, "agency") == [("A",)]
 
 
 def test_a_missing_update_time_is_the_oldest(bronze_of):
-    unknown = list(record(1, agency="OLD"))
+    unknown = list(ticket(1, agency="OLD"))
     unknown[3] = "not a date"
-    out = staging.staged(bronze_of(([record(1)], T0), ([tuple(unknown)], LATER)), CFG)
-    assert rows_of(out, "agency") == [("NYPD",)]
+    out = staging.staged(bronze_of(([ticket(1)], T0), ([tuple(unknown)], LATER)), CFG)
+    assert rows_of(out, "agency") == [("PARKS",)]
 
 
 def test_rows_without_a_usable_key_are_all_kept(stage):
-    out = stage([record(None), record(None), record("abc"), record("abc"), record(5), record(5)])
+    out = stage([ticket(None), ticket(None), ticket("abc"), ticket("abc"), ticket(5), ticket(5)])
     assert out.filter(F.col("unique_key").isNull()).count() == 4
     assert out.count() == 5
 
 
 def test_standardisation(stage):
     out = stage(
-        [record(1, agency=" nypd ", complaint_type=" Noise ", incident_zip="11201-1234",
-                borough=" Staten Is ", latitude="x", longitude=None)]
+        [ticket(1, agency=" parks\t", complaint_type=" Fallen  Tree ", incident_zip=" 10314-0007",
+                borough="staten is ", latitude="north", longitude=None)]
     )
     columns = ("agency", "complaint_type", "incident_zip", "borough", "latitude", "longitude")
     assert [tuple(r) for r in out.select(*columns).collect()] == [
-        ("NYPD", "Noise", "11201", "STATEN ISLAND", None, None)
+        ("PARKS\t", "Fallen  Tree", "10314", "STATEN ISLAND", None, None)
     ]
 
 
 def test_open_requests_have_no_hours_and_early_closure_is_negative(stage):
-    out = stage([record(1), closed_after(2, -5), closed_after(3, 1.5)])
+    out = stage([ticket(1), lasting(2, -7.25), lasting(3, 0.5)])
     got = {r["unique_key"]: r["response_hours"] for r in out.collect()}
-    assert got == {1: None, 2: -5.0, 3: 1.5}
+    assert got == {1: None, 2: -7.25, 3: 0.5}
 
 
 def _versions(n, seed=3):
@@ -73,7 +73,7 @@ def _versions(n, seed=3):
         hot = rng.random() < 0.34
         key = 1 if hot else rng.choice([None, "abc", *range(2, 40)])
         day = datetime(2024, 3, 1) + timedelta(hours=rng.randrange(200))
-        yield closed_after(key, rng.randrange(1, 9), created=day, agency=rng.choice("ABC"))
+        yield lasting(key, rng.randrange(1, 9), start=day, agency=rng.choice("ABC"))
 
 
 def brute_force(rows):

@@ -122,7 +122,8 @@ class Box:
 
 @dataclass(frozen=True)
 class LakeConfig:
-    """Every parameter of a run, checked when built."""
+    """Every parameter of a run, checked when built. `max_rows` caps a limit that a caller gives; no limit reads
+    the whole window."""
 
     areas: tuple[str, ...] = AREAS
     area_aliases: Mapping[str, str] = field(default_factory=lambda: dict(AREA_ALIASES))
@@ -157,13 +158,27 @@ SESSION_SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     "spark.sql.parquet.compression.codec": "zstd",
-    # a first-n cut larger than this sorts by range instead of holding the rows in one heap
+    # a first-n cut larger than this is sorted by ranges before one task takes its head, instead of being
+    # held in a heap; the rows are the same
     "spark.sql.execution.topKSortFallbackThreshold": "200000",
+    # a task keeps both layers' files open instead of sorting its rows by layer
+    "spark.sql.maxConcurrentOutputFileWriters": "8",
+    # bounds on the creation time reach a paged service
+    "spark.sql.python.filterPushdown.enabled": "true",
 }
+PARTITION_BYTES = 128 << 20
+
+
+def settings_for(input_bytes: int) -> dict[str, str]:
+    """SESSION_SETTINGS for an input of this size: shuffles start with partitions of PARTITION_BYTES, which AQE
+    then joins where they turn out small; it doesn't split ones that are too large."""
+    partitions = max(8, -(-input_bytes // PARTITION_BYTES))
+    return {**SESSION_SETTINGS, "spark.sql.shuffle.partitions": str(partitions)}
 
 
 def is_local(spark: SparkSession) -> bool:
-    return spark.sparkContext.master.startswith("local")
+    """One JVM on this machine; `local-cluster` has executors of its own and counts as a cluster."""
+    return spark.sparkContext.master.partition("[")[0] == "local"
 
 
 def shared_root(spark: SparkSession) -> str:
@@ -178,5 +193,17 @@ def shared_root(spark: SparkSession) -> str:
     return root
 
 
+_made: list[str] = []
+
+
 def fresh_dir(spark: SparkSession, label: str) -> str:
-    return f"{shared_root(spark)}/ticketlake/{label}-{uuid.uuid4().hex}"
+    """A new folder's name under the shared folder; `made_dirs` lists the names given out."""
+    _made.append(f"{shared_root(spark)}/ticketlake/{label}-{uuid.uuid4().hex}")
+    return _made[-1]
+
+
+def made_dirs() -> list[str]:
+    """Names that this process took since the last call, for whoever cleans up after its queries."""
+    names = list(_made)
+    _made.clear()
+    return names

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ticketlake.config import RAW_COLUMNS, LakeConfig
+from ticketlake.config import RAW_COLUMNS, LakeConfig, fresh_dir
 from ticketlake.functions.casts import ntz, to_timestamp
 
 # Creation time, key (a missing key sorts as empty text), update time; the remaining columns only
@@ -20,10 +22,16 @@ def created_at() -> Column:
 def in_window(raw: DataFrame, since, until=None) -> DataFrame:
     """Rows created after `since` (exclusive) and up to `until` (inclusive, optional).
 
-    A row whose creation time cannot be read is in no window.
+    A row whose creation time cannot be read is in no window. Readable times begin with four digits of a
+    year, so the year bounds the text as well; that bound reaches the files, which a cast cannot.
     """
-    rows = raw.filter(created_at() > ntz(since))
-    return rows if until is None else rows.filter(created_at() <= ntz(until))
+    text = F.col("created_date")
+    rows = raw.filter((created_at() > ntz(since)) & (text >= str(since)[:4]))
+    if until is None:
+        return rows
+    next_year = int(str(until)[:4]) + 1
+    rows = rows.filter(created_at() <= ntz(until))
+    return rows if next_year > 9999 else rows.filter(text < f"{next_year:04d}")
 
 
 def source_order() -> list[Column]:
@@ -36,9 +44,31 @@ def first_n(raw: DataFrame, n: int) -> DataFrame:
     return raw.orderBy(*source_order()).limit(n)
 
 
+def numbered(raw: DataFrame, row_id: Sequence[str] = ()) -> DataFrame:
+    """Raw rows with their `position` in the source order, counted from 0.
+
+    The sorted rows are stored, and a row's position is its index in its file plus the rows of the files
+    before: no task sees more than its range, however deep a page lies. One row per file is added up.
+    `row_id` columns tell equal rows apart, so that many copies of a row spread over several files.
+    """
+    path = fresh_dir(raw.sparkSession, "numbered")
+    raw.orderBy(*source_order(), *row_id).select(*RAW_COLUMNS).write.parquet(path)
+    rows = raw.sparkSession.read.parquet(path).select(
+        "*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_index")
+    )
+    sizes, before, starts = rows.groupBy("_file").count().orderBy("_file").collect(), 0, []
+    for file, size in sizes:
+        starts.append((file, before))
+        before += size
+    starts = F.broadcast(raw.sparkSession.createDataFrame(starts, "_file string, _start bigint"))
+    position = (F.col("_start") + F.col("_index")).alias("position")
+    return rows.join(starts, "_file").select(*RAW_COLUMNS, position)
+
+
 def page(raw: DataFrame, offset: int, size: int) -> DataFrame:
     """Rows offset .. offset+size of the source order."""
-    return raw.orderBy(*source_order()).offset(offset).limit(size)
+    inside = F.col("position").between(offset, offset + size - 1)
+    return numbered(raw).filter(inside).select(*RAW_COLUMNS)
 
 
 def extract(

@@ -19,25 +19,16 @@ def latest_versions(
 
     `row_number() == 1` lets Spark cut every key to one row per task before the shuffle, so a key
     that holds a third of the data ships one row per task. Rows without a key must neither meet in
-    one task nor be dropped:
+    one task nor be dropped: they are windowed under an identity of their own, in the same pass. That is
+    `row_id` (columns that identify a stored row, such as file path and row index) or else an id
+    that is unique among the rows of this pass.
 
-    * with `row_id` (columns that identify a stored row, such as file path and row index) they are
-      windowed under their own identity, in the same pass over the input;
-    * without it they bypass the window in a second branch.
-
-    The `row_id` columns are dropped from the result.
+    The identity is not part of the result.
     """
     ranking = [F.col(c).desc_nulls_last() for c in (*order, *tie_break)]
-    if row_id:
-        identity = [F.when(F.col(key).isNull(), F.col(c)) for c in row_id]
-        window = Window.partitionBy(F.col(key), *identity).orderBy(*ranking)
-        ranked = df.withColumn("_version", F.row_number().over(window))
-        return ranked.filter(F.col("_version") == 1).drop("_version", *row_id)
-    window = Window.partitionBy(key).orderBy(*ranking)
-    keyed = (
-        df.filter(F.col(key).isNotNull())
-        .withColumn("_version", F.row_number().over(window))
-        .filter(F.col("_version") == 1)
-        .drop("_version")
-    )
-    return keyed.unionByName(df.filter(F.col(key).isNull()))
+    if not row_id:
+        df, row_id = df.withColumn("_own", F.monotonically_increasing_id()), ("_own",)
+    identity = [F.when(F.col(key).isNull(), F.col(c)) for c in row_id]
+    window = Window.partitionBy(F.col(key), *identity).orderBy(*ranking)
+    ranked = df.withColumn("_version", F.row_number().over(window))
+    return ranked.filter(F.col("_version") == 1).drop("_version", *row_id)

@@ -21,14 +21,15 @@ def register(lake: Lake, database: str) -> list[str]:
     Bronze is partitioned by day and batch, and its folders are added to the catalog; the other
     tables point at the visible run, so registering again after a run moves them.
     """
-    spark, run_id = lake.spark, lake.published_run()
+    spark, visible = lake.spark, lake.published()
+    run_id, marts_run = visible["published_run"], visible["marts_run"]
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
     staged = lake.staged_path(run_id)
     tables = {
         "bronze": (BRONZE_SCHEMA, bronze_path(lake.root), BRONZE_PARTITIONS),
         "silver": (SILVER_SCHEMA, f"{staged}/layer=silver", ()),
         "quarantine": (QUARANTINE_SCHEMA, f"{staged}/layer=quarantine", ()),
-        **{m: (MART_SCHEMAS[m], lake.gold_path(m, run_id), ()) for m in MART_NAMES},
+        **{m: (MART_SCHEMAS[m], lake.gold_path(m, marts_run), ()) for m in MART_NAMES},
     }
     for name, (schema, path, partitions) in tables.items():
         table = f"`{database}`.`{name}`"

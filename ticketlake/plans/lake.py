@@ -1,20 +1,20 @@
 """Layout of a lake, its run log, and how readers find the published tables.
 
-    landing/<batch>/                               raw rows as JSON lines
+    landing/<attempt>/                             raw rows as JSON lines, one folder per pull
     bronze/ingest_date=<day>/_batch_id=<batch>/    raw rows as Parquet
     staged/run=<id>/layer=silver|quarantine/       judged rows of one run
     batches/run=<id>/                              bronze batches that run had staged
-    gold/<mart>/run=<id>/                          marts of one run
-    runs/seq=<n>/                                  one record per run, written last
+    gold/<mart>/run=<id>/                          marts of one run or rebuild
+    runs/<attempt>/                                one record per run or rebuild, written last
 
-A run writes under its own id and becomes visible when its record is written. A run that stops
-half way leaves nothing a reader would look at.
+A run writes under its own id and becomes visible when its record is written: one file in a folder
+that no other attempt uses. One that stops half way, also while it writes the record, leaves nothing a
+reader would look at and nothing in the way of the next run.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-from datetime import datetime
+import uuid
 
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
@@ -46,24 +46,24 @@ RUN_SCHEMA = T.StructType(
         T.StructField("gold_rows", T.MapType(T.StringType(), T.LongType())),
         T.StructField("watermark", T.TimestampNTZType()),
         T.StructField("published_run", T.StringType()),
+        T.StructField("staged_run", T.StringType()),
+        T.StructField("marts_run", T.StringType()),
+        T.StructField("landing", T.StringType()),
         T.StructField("seq", T.LongType()),
     ]
 )
-PUBLISHED, FAILED = "published", "failed"
+PUBLISHED, FAILED, REBUILT = "published", "failed", "rebuilt"
+
+
+NEVER_RAN = Row(**dict.fromkeys([*RUN_SCHEMA.fieldNames()]))
 
 
 class NotPublished(FileNotFoundError):
     """The lake has no published run yet."""
 
 
-@dataclass(frozen=True)
-class State:
-    """What the newest record says: where to continue, which run is visible, what ran last."""
-
-    seq: int = 0
-    watermark: datetime | None = None
-    published_run: str | None = None
-    last_run: Row | None = None
+class TwoRecords(RuntimeError):
+    """Two runs committed under one number: they ran at the same time. Delete the record of one."""
 
 
 class Lake:
@@ -83,42 +83,49 @@ class Lake:
 
     # run log
     def run_log(self) -> DataFrame:
-        """One row per run, oldest first by `seq`."""
-        if not fs.glob(self.spark, f"{self.root}/runs/seq=*/_SUCCESS"):
+        """One row per run or rebuild of marts, oldest first by `seq`."""
+        if not fs.glob(self.spark, f"{self.root}/runs/*/part-*"):
             return self.spark.createDataFrame([], RUN_SCHEMA)
-        return self.spark.read.schema(RUN_SCHEMA).json(f"{self.root}/runs")
+        return self.spark.read.schema(RUN_SCHEMA).json(f"{self.root}/runs/*/part-*")
 
-    def state(self, new_run: str | None = None) -> State:
-        """The newest record; refuses `new_run` if a finished run already has that id."""
+    def state(self, new_run: str | None = None) -> Row:
+        """The newest record, or NEVER_RAN; refuses `new_run` if a finished run already has that id."""
         newest = F.max_by(F.struct(*RUN_SCHEMA.fieldNames()), "seq")
-        taken = F.count_if(F.col("run_id") == F.lit(new_run))
-        found = self.run_log().agg(newest.alias("newest"), taken.alias("taken")).first()
+        found = (
+            self.run_log()
+            .agg(
+                newest.alias("newest"),
+                F.count_if(F.col("run_id") == F.lit(new_run)).alias("taken"),
+                (F.count("seq") - F.countDistinct("seq")).alias("clashes"),
+            )
+            .first()
+        )
+        if found["clashes"]:
+            raise TwoRecords(f"a number occurs twice in {self.root}/runs")
         if found["taken"]:
             raise ValueError(f"run id {new_run!r} is taken; a finished run is never overwritten")
-        row = found["newest"]
-        if row is None:
-            return State()
-        return State(row["seq"], row["watermark"], row["published_run"], row)
-
-    def record(self, seq: int, **values) -> None:
-        """Append a run's record; the commit point of a run. A sequence number is used once."""
-        fields = [f for f in RUN_SCHEMA.fields if f.name != "seq"]
-        row = tuple(values[f.name] for f in fields)
-        (
-            self.spark.createDataFrame([row], T.StructType(fields))
-            .coalesce(1)
-            .write.mode("errorifexists")
-            .json(f"{self.root}/runs/seq={seq:08d}")
-        )
+        return found["newest"] or NEVER_RAN
+
+    def record(self, before: Row, **values) -> Row:
+        """Append a record behind the newest one; the commit point of a run. Returns it."""
+        values |= {"seq": (before["seq"] or 0) + 1}
+        row = tuple(values.get(name) for name in RUN_SCHEMA.fieldNames())
+        table = self.spark.createDataFrame([row], RUN_SCHEMA).coalesce(1)
+        table.write.json(f"{self.root}/runs/{uuid.uuid4().hex}")
+        return table.first()
+
+    def published(self) -> Row:
+        """The newest record, which names the visible run and the marts that go with it."""
+        state = self.state()
+        if state["published_run"] is None:
+            raise NotPublished(f"nothing is published under {self.root}; run the lake first")
+        return state
 
     def published_run(self) -> str:
-        run_id = self.state().published_run
-        if run_id is None:
-            raise NotPublished(f"nothing is published under {self.root}; run the lake first")
-        return run_id
+        return self.published()["published_run"]
 
     def published_record(self) -> Row:
-        """The record of the visible run."""
+        """The record of the visible run itself."""
         return self.run_log().filter(F.col("run_id") == self.published_run()).first()
 
     # tables
@@ -139,16 +146,19 @@ class Lake:
         return rows.select(*QUARANTINE_SCHEMA.fieldNames())
 
     def mart(self, name: str, run_id: str | None = None) -> DataFrame:
-        path = self.gold_path(name, run_id or self.published_run())
+        path = self.gold_path(name, run_id or self.published()["marts_run"])
         return self.spark.read.schema(MART_SCHEMAS[name]).parquet(path)
 
     def expire(self, keep: tuple[str, ...] = ()) -> list[str]:
-        """Delete the tables of runs that are neither published, nor the last, nor in `keep`."""
+        """Delete tables of runs and rebuilds that are neither visible, nor the last staging, nor in `keep`, and
+        landing folders that no record names."""
         state = self.state()
-        live = {state.published_run, state.last_run and state.last_run["run_id"], *keep}
+        live = {state["published_run"], state["staged_run"], state["marts_run"], *keep}
         patterns = ["staged/run=*", "batches/run=*", *[f"gold/{m}/run=*" for m in MART_NAMES]]
         found = [p for pattern in patterns for p in fs.glob(self.spark, f"{self.root}/{pattern}")]
         dead = [p for p in found if p.rsplit("run=", 1)[1] not in live]
+        landed = {r["landing"].rsplit("/", 1)[1] for r in self.run_log().select("landing").collect() if r["landing"]}
+        dead += [p for p in fs.glob(self.spark, f"{self.root}/landing/*") if p.rsplit("/", 1)[1] not in landed]
         for path in dead:
             fs.delete(self.spark, path)
         return dead

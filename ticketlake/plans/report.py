@@ -77,11 +77,14 @@ def agency_breach(sla: DataFrame, n: int = 8) -> DataFrame:
 
 
 def sla_grid(sla: DataFrame, n: int = 10) -> DataFrame:
-    """Busiest agencies by month label; a cell without requests is NULL."""
+    """One row per busiest agency and month of any of them; a cell without requests has a NULL rate."""
     agencies = busiest_agencies(sla, n).select("agency")
-    cells = sla.join(agencies, "agency", "left_semi")
-    labelled = cells.select("agency", month_label(F.col("month")).alias("label"), "breach_rate")
-    return labelled.groupBy("agency").pivot("label").agg(F.first("breach_rate"))
+    months = sla.join(agencies, "agency", "left_semi").select("month").distinct()
+    cells = agencies.crossJoin(months)  # n agencies by the months of the data
+    rates = sla.select("agency", "month", "breach_rate")
+    return cells.join(rates, ["agency", "month"], "left").select(
+        "agency", month_label(F.col("month")).alias("label"), "breach_rate"
+    )
 
 
 def response_series(response: DataFrame, areas: Sequence[str]) -> DataFrame:
@@ -270,8 +273,8 @@ def _unpivot(one_row: DataFrame, schema: str, lines: list[tuple[Column, ...]]) -
 def lake_stats(lake: Lake, rules: Sequence[str]) -> DataFrame:
     """`stats` of the published run of a lake, with the threshold and source it recorded."""
     record = lake.published_record()
-    run_id = record["run_id"]
-    marts = {m: lake.mart(m, run_id) for m in MART_NAMES}
+    run_id, marts_run = record["run_id"], lake.published()["marts_run"]
+    marts = {m: lake.mart(m, marts_run) for m in MART_NAMES}
     return stats(
         lake.bronze(),
         lake.silver(run_id),

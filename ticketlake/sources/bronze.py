@@ -3,15 +3,15 @@
 from __future__ import annotations
 
 import uuid
-from dataclasses import dataclass
 from datetime import date, datetime
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ticketlake.config import BRONZE_SCHEMA, RAW_COLUMNS
 from ticketlake.functions.casts import ntz
-from ticketlake.operators.extract import newest_created
+from ticketlake.operators.extract import created_at, newest_created
 from ticketlake.operators.fingerprint import batch_id, row_digest
 from ticketlake.sources import fs
 from ticketlake.sources.files import read_jsonl, write_jsonl
@@ -25,29 +25,27 @@ class NoBronzeData(RuntimeError):
     """There is nothing in bronze to stage."""
 
 
-@dataclass(frozen=True)
-class BronzeBatch:
-    batch_id: str | None
-    rows: int
-    path: str | None
-    newest_created: datetime | None = None
-
+class Batch(NamedTuple):
+    """What a pull stored. `landing` and `batch_id` are None when the source had no rows."""
 
-def landing_path(root: str, batch: str) -> str:
-    return f"{root}/landing/{batch}"
+    rows: int
+    batch_id: str | None = None
+    newest: datetime | None = None
+    landing: str | None = None
 
 
 def bronze_path(root: str) -> str:
     return f"{root}/bronze"
 
 
-def land(spark: SparkSession, rows: DataFrame, root: str) -> BronzeBatch:
+def land(spark: SparkSession, rows: DataFrame, root: str) -> Batch:
     """Read the source once: write JSON lines and observe count, newest row and content id.
 
     The observation sits in the stage that writes, so each row is counted by the one task attempt
-    that commits it. The files become visible under the batch id by a rename at the end.
+    that commits it. Every attempt has a folder of its own, which is neither moved nor shared: what an
+    earlier attempt left half written is never read.
     """
-    incoming = f"{root}/landing/_incoming-{uuid.uuid4().hex}"
+    path = f"{root}/landing/{uuid.uuid4().hex}"
     seen = Observation()
     observed = (
         rows.select(*RAW_COLUMNS)
@@ -59,18 +57,19 @@ def land(spark: SparkSession, rows: DataFrame, root: str) -> BronzeBatch:
             batch_id(F.col("_digest")).alias("batch_id"),
         )
     )
-    write_jsonl(observed, incoming)
+    write_jsonl(observed, path)
     got = seen.get
-    if got["rows"] == 0:
-        fs.delete(spark, incoming)
-        return BronzeBatch(None, 0, None)
-    target = landing_path(root, got["batch_id"])
-    if fs.exists(spark, target):  # the same content landed before
-        fs.delete(spark, incoming)
-    else:
-        fs.rename(spark, incoming, target)
-    newest = datetime.fromisoformat(got["newest"]) if got["newest"] else None
-    return BronzeBatch(got["batch_id"], got["rows"], target, newest)
+    if not got["rows"]:
+        fs.delete(spark, path)
+        return Batch(0)
+    newest = got["newest"] and datetime.fromisoformat(got["newest"])
+    return Batch(got["rows"], got["batch_id"], newest, path)
+
+
+def complete_until(spark: SparkSession, batch: Batch) -> datetime | None:
+    """For a batch that a limit cut off: the newest creation time before its last one, which alone may be cut."""
+    earlier = read_jsonl(spark, batch.landing).filter(created_at() < ntz(batch.newest))
+    return earlier.agg(newest_created().alias("newest")).first()["newest"]
 
 
 def with_lineage(rows: DataFrame, batch: str, source: str, ingested_at, ingest_date) -> DataFrame:
@@ -85,17 +84,17 @@ def with_lineage(rows: DataFrame, batch: str, source: str, ingested_at, ingest_d
 
 def ingest(
     rows: DataFrame, root: str, *, ingest_date: date, ingested_at: datetime, source: str
-) -> BronzeBatch:
+) -> Batch:
     """Land the rows, then store them as Parquet under their date and batch id.
 
     The same rows on the same date replace their own partition; no rows write nothing.
     """
     spark = rows.sparkSession
-    landed = land(spark, rows, root)
-    if landed.batch_id is None:
-        return landed
+    batch = land(spark, rows, root)
+    if not batch.rows:
+        return batch
     stored = with_lineage(
-        read_jsonl(spark, landed.path), landed.batch_id, source, ingested_at, ingest_date
+        read_jsonl(spark, batch.landing), batch.batch_id, source, ingested_at, ingest_date
     )
     (
         stored.write.mode("overwrite")
@@ -104,19 +103,17 @@ def ingest(
         .partitionBy("ingest_date", "_batch_id")
         .parquet(bronze_path(root))
     )
-    path = f"{bronze_path(root)}/ingest_date={ingest_date}/_batch_id={landed.batch_id}"
-    return BronzeBatch(landed.batch_id, landed.rows, path, landed.newest_created)
+    return batch
 
 
-def batches(spark: SparkSession, root: str) -> list[tuple[str, str]]:
-    """(ingest_date, batch id) of every stored batch, from the folder names."""
-    found = fs.glob(spark, f"{bronze_path(root)}/ingest_date=*/_batch_id=*")
-    return [tuple(p.split("=", 1)[1] for p in path.split("/")[-2:]) for path in found]
+def batches(bronze: DataFrame) -> DataFrame:
+    """(ingest_date, _batch_id, _ingested_at) of every stored batch."""
+    return bronze.select("ingest_date", "_batch_id", "_ingested_at").distinct()
 
 
 def scan(spark: SparkSession, root: str, row_id: bool = False) -> DataFrame:
     """Every batch as one relation; `row_id` adds the columns of STORED_ROW_ID."""
-    if not batches(spark, root):
+    if not fs.glob(spark, f"{bronze_path(root)}/ingest_date=*"):
         raise NoBronzeData(f"no bronze batches under {root}; ingest something first")
     table = spark.read.schema(BRONZE_SCHEMA).parquet(bronze_path(root))
     if not row_id:

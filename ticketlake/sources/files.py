@@ -2,26 +2,48 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import csv
+from concurrent.futures import ThreadPoolExecutor
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ticketlake.config import RAW_COLUMNS, RAW_SCHEMA
+from ticketlake.sources import fs
 
 
 def read_csv(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
     """Columns by header name, every empty cell missing, absent columns NULL, others dropped.
 
+    Files may order or choose their columns differently: the first line of every file is read while
+    planning, and files with one header are read together. A line with more or fewer cells than its
+    header, or a header that names a column twice, fails the read. `path` may hold wildcards or name a folder.
     `multiline` accepts line breaks inside quoted cells, at the price of unsplittable files.
     """
-    table = spark.read.csv(path, header=True, multiLine=multiline, escape='"')
-    return table.select(
-        *[
-            F.nullif(F.col(c), F.lit("")).alias(c)
-            if c in table.columns
-            else F.lit(None).cast("string").alias(c)
-            for c in RAW_COLUMNS
-        ]
-    )
+    files = [f for f in spark.read.text(path).inputFiles()]
+    by_header: dict[tuple[str, ...], list[str]] = {}
+    with ThreadPoolExecutor(16) as pool:
+        lines = pool.map(lambda f: fs.first_line(spark, f), files)
+        for file, line in zip(files, lines, strict=True):
+            by_header.setdefault(tuple(next(csv.reader([line]), ())), []).append(file)
+    table = spark.createDataFrame([], RAW_SCHEMA)
+    for header, group in sorted(by_header.items()):
+        if len(set(header)) < len(header):
+            raise ValueError(f"a column name occurs twice in the header of {group[0]}")
+        if not header:
+            continue
+        names = T.StructType([T.StructField(c, T.StringType()) for c in header])
+        rows = spark.read.schema(names).csv(
+            group, header=True, multiLine=multiline, escape='"', mode="FAILFAST", enforceSchema=False
+        )
+        table = table.unionByName(rows.select(*[_cell(c, header) for c in RAW_COLUMNS]))
+    return table
+
+
+def _cell(name: str, header: tuple[str, ...]) -> Column:
+    value = F.nullif(F.col(f"`{name}`"), F.lit("")) if name in header else F.lit(None).cast("string")
+    return value.alias(name)
 
 
 def read_jsonl(spark: SparkSession, path: str) -> DataFrame:

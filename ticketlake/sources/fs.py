@@ -20,14 +20,20 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(hadoop_path)
 
 
-def rename(spark: SparkSession, source: str, target: str) -> None:
-    src, fs = _path(spark, source)
-    dst, _ = _path(spark, target)
-    fs.mkdirs(dst.getParent())
-    if not fs.rename(src, dst):
-        raise OSError(f"could not move {source} to {target}")
-
-
 def delete(spark: SparkSession, path: str) -> None:
     hadoop_path, fs = _path(spark, path)
     fs.delete(hadoop_path, True)
+
+
+def first_line(spark: SparkSession, path: str) -> str:
+    """The first line of a text file, without its end."""
+    hadoop_path, fs = _path(spark, path)
+    codecs = spark._jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(spark._jsc.hadoopConfiguration())
+    stream = fs.open(hadoop_path)
+    try:
+        codec = codecs.getCodec(hadoop_path)
+        plain = stream if codec is None else codec.createInputStream(stream)
+        reader = spark._jvm.java.io.BufferedReader(spark._jvm.java.io.InputStreamReader(plain, "UTF-8"))
+        return (reader.readLine() or "").removeprefix("\ufeff")
+    finally:
+        stream.close()

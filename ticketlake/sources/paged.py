@@ -11,22 +11,22 @@ import base64
 import sys
 import time
 from collections.abc import Callable, Iterable, Iterator, Sequence
-from typing import TypeVar
 
 import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+from pyspark.sql.datasource import DataSource, DataSourceReader, Filter, GreaterThan, InputPartition, LessThanOrEqual
 
 from ticketlake.config import RAW_COLUMNS, LakeConfig
+from ticketlake.plans.run import Fetcher
 
 FORMAT = "paged_requests"
-T = TypeVar("T")
 # The responses that are worth another try.
 RETRY_STATUS = (429, 500, 502, 503, 504)
-
-# A read is cut into at most this many tasks; beyond it, a task reads several pages in turn.
-MAX_TASKS = 10_000
+# Seconds to wait before each further try of a page.
+RETRY_DELAYS = (1.0, 2.0, 4.0, 8.0)
+# Tasks of a read that take turns over its pages, unless the caller names another number.
+STREAMS = 64
 
 Records = "Iterable[dict] | pa.Table"
 PageReader = Callable[["str | None", "str | None", Sequence[str], int, int], Records]
@@ -48,24 +48,20 @@ def check_status(status: int) -> None:
         raise PageReadError(f"status {status}")
 
 
-def read_with_retry(
-    read: Callable[[], T],
-    max_attempts: int = 5,
-    backoff: float = 1.0,
-    sleep: Callable[[float], None] = time.sleep,
-) -> T:
-    """Retry transient failures, waiting twice as long each time; anything else fails at once.
+def patiently(request: Callable, delays: Iterable[float] = RETRY_DELAYS, pause=time.sleep):
+    """The request's answer; a passing failure is asked again after each of the delays, others end it.
 
-    Connection errors and timeouts count as transient.
+    Lost connections and timeouts pass like a TransientPageError.
     """
-    for attempt in range(1, max_attempts + 1):
+    schedule = iter(delays)
+    while True:
         try:
-            return read()
-        except (TransientPageError, ConnectionError, TimeoutError) as error:
-            if attempt == max_attempts:
-                raise PageReadError(f"no answer after {max_attempts} attempts: {error}") from error
-            sleep(backoff * 2 ** (attempt - 1))
-    raise PageReadError("max_attempts must be at least 1")
+            return request()
+        except (TransientPageError, ConnectionError, TimeoutError) as failure:
+            wait = next(schedule, None)
+            if wait is None:
+                raise PageReadError(f"the service kept failing: {failure}") from failure
+        pause(wait)
 
 
 def as_table(records: Records) -> pa.Table:
@@ -76,45 +72,59 @@ def as_table(records: Records) -> pa.Table:
     return pa.table([pa.array([r.get(c) for r in rows], pa.string()) for c in text.names], text)
 
 
-class Pages(InputPartition):
-    """Consecutive pages: rows start .. end of the window."""
+class Turns(InputPartition):
+    """Pages first, first + step, first + 2 * step and so on."""
 
-    def __init__(self, start: int, end: int):
-        self.start, self.end = start, end
+    def __init__(self, first: int, step: int):
+        self.first, self.step = first, step
 
 
 class PagedReader(DataSourceReader):
     def __init__(self, options: dict):
         self.read_page = cloudpickle.loads(base64.b64decode(options["reader"]))
         self.since, self.until = options.get("since"), options.get("until")
-        self.limit, self.page_size = int(options["limit"]), int(options["pagesize"])
-        self.max_tasks = int(options.get("maxtasks", MAX_TASKS))
-        self.max_attempts = int(options.get("maxattempts", 5))
-        self.backoff = float(options.get("backoff", 1.0))
-
-    def partitions(self) -> list[Pages]:
-        """One page per task, or several if that would be too many tasks."""
-        pages = -(-self.limit // self.page_size)
-        rows_per_task = -(-pages // self.max_tasks) * self.page_size
-        starts = range(0, self.limit, rows_per_task)
-        return [Pages(at, min(at + rows_per_task, self.limit)) for at in starts]
-
-    def read(self, pages: Pages) -> Iterator[pa.RecordBatch]:
-        """Page after page up to the end or the first short page; past the window there is none."""
-        for offset in range(pages.start, pages.end, self.page_size):
-            size = min(self.page_size, pages.end - offset)
-            page = read_with_retry(
-                lambda at=offset, n=size: as_table(
-                    self.read_page(self.since, self.until, RAW_COLUMNS, at, n)
-                ),
-                self.max_attempts,
-                self.backoff,
+        self.limit = int(options["limit"]) if "limit" in options else None
+        self.page_size, self.streams = int(options["pagesize"]), int(options["streams"])
+        self.delays = [float(x) for x in options["delays"].split(",") if x]
+
+    def pushFilters(self, filters: list[Filter]) -> Iterator[Filter]:
+        """Bounds on the creation text narrow the window that the service is asked for.
+
+        Only without a limit: the rows of a limit are those of the window it was given with.
+        """
+        for f in filters:
+            on_time = self.limit is None and getattr(f, "attribute", None) == ("created_date",)
+            if on_time and isinstance(f, GreaterThan):
+                self.since = max(self.since or "", f.value)
+            elif on_time and isinstance(f, LessThanOrEqual):
+                self.until = f.value if self.until is None else min(self.until, f.value)
+            else:
+                yield f
+
+    def partitions(self) -> list[Turns]:
+        """Tasks that take turns over the pages. The number of pages need not be known: each goes on to its
+        first short page, so at most one request a task lies past the window."""
+        pages = self.streams if self.limit is None else -(-self.limit // self.page_size)
+        step = max(1, min(self.streams, pages))
+        return [Turns(first, step) for first in range(step)]
+
+    def read(self, turns: Turns) -> Iterator[pa.RecordBatch]:
+        page = turns.first
+        while True:
+            offset = page * self.page_size
+            size = self.page_size if self.limit is None else min(self.page_size, self.limit - offset)
+            if size <= 0:
+                return
+            got = patiently(
+                lambda at=offset, n=size: as_table(self.read_page(self.since, self.until, RAW_COLUMNS, at, n)),
+                self.delays,
             )
-            if page.num_rows > size:
-                raise PageReadError(f"asked for {size} records, got {page.num_rows}")
-            yield from page.to_batches()
-            if page.num_rows < size:
+            if got.num_rows > size:
+                raise PageReadError(f"asked for {size} records, got {got.num_rows}")
+            yield from got.to_batches()
+            if got.num_rows < size:
                 return
+            page += turns.step
 
 
 class PagedRequests(DataSource):
@@ -133,17 +143,17 @@ def read_paged(
     spark: SparkSession,
     read_page: PageReader,
     cfg: LakeConfig,
-    since,
-    limit: int,
+    since=None,
     until=None,
-    max_attempts: int = 5,
-    backoff: float = 1.0,
-    max_tasks: int = MAX_TASKS,
+    limit: int | None = None,
+    streams: int = STREAMS,
+    delays: Sequence[float] = RETRY_DELAYS,
 ) -> DataFrame:
-    """The oldest `limit` records created after `since` and up to `until`, page by page.
+    """Records created after `since` and up to `until`, page by page; the oldest `limit` of them if given.
 
-    The window travels to the service, so only matching records are transferred. It is given as
-    arguments, as a lower bound pushed down from a filter would change which rows a limit keeps.
+    The window travels to the service, so only matching records are transferred. Without a limit a filter
+    `created_date > ...` or `<= ...` on the result travels there, too (in sessions with
+    `spark.sql.python.filterPushdown.enabled`, as SESSION_SETTINGS has it).
     """
     cfg.check_limit(limit)
     # classes and page readers travel by value: executors need no copy of this package
@@ -156,9 +166,8 @@ def read_paged(
             "until": None if until is None else _text(until),
             "limit": limit,
             "pageSize": cfg.page_size,
-            "maxAttempts": max_attempts,
-            "backoff": backoff,
-            "maxTasks": max_tasks,
+            "streams": streams,
+            "delays": ",".join(map(str, delays)),
         }
         given = {k: str(v) for k, v in options.items() if v is not None}
         return spark.read.format(FORMAT).options(**given).load()
@@ -166,6 +175,15 @@ def read_paged(
         cloudpickle.unregister_pickle_by_value(sys.modules["ticketlake"])
 
 
+def paged_fetcher(read_page: PageReader, cfg: LakeConfig, streams: int = STREAMS) -> Fetcher:
+    """The service as the source of a run."""
+
+    def fetch(spark, since, until, limit):
+        return read_paged(spark, read_page, cfg, since, until, limit, streams)
+
+    return fetch
+
+
 def _text(moment) -> str:
     """ISO text with milliseconds, the form in which records carry their times."""
     return moment if isinstance(moment, str) else moment.isoformat(timespec="milliseconds")
