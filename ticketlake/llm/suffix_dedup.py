@@ -339,7 +339,7 @@ def _removed(length: int, whole_characters: bool, result: T.StructType):
         begin = np.flatnonzero(new)
         of = {
             (int(ranges["doc"][a]), int(ranges["digest"][a])): slice(a, b)
-            for a, b in zip(begin.tolist(), [*begin[1:].tolist(), len(ranges)], strict=True)
+            for a, b in zip(begin.tolist(), np.append(begin[1:], len(ranges))[: len(begin)].tolist(), strict=True)
         }
         sizes, spans, kept = [], [], []
         keys = zip(docs.column("doc_id").to_pylist(), docs.column("digest").to_pylist(), strict=True)
