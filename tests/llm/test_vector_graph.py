@@ -32,9 +32,9 @@ def brute_force(rows, threshold=0.95):
     links = x @ x.T >= threshold
     np.fill_diagonal(links, False)
     a, b = np.nonzero(links | np.eye(len(rows), dtype=bool))
-    nodes, roots = local_roots(ids[a], ids[b])
-    root = dict(zip(nodes.tolist(), roots.tolist(), strict=True))
-    return sorted((int(i), int(n), root[int(i)]) for i, n in zip(ids, links.sum(1), strict=True))
+    _, roots = local_roots(a, b)
+    lowest = {r: int(ids[roots == r].min()) for r in set(roots.tolist())}
+    return sorted((int(i), int(n), lowest[r]) for i, n, r in zip(ids, links.sum(1), roots.tolist(), strict=True))
 
 
 def result(table):

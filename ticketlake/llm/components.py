@@ -53,5 +53,14 @@ def components(links: DataFrame) -> DataFrame:
     return stars.union(edges.select("v", "v").distinct())
 
 
+def lowest_labels(nodes: DataFrame, links: DataFrame) -> DataFrame:
+    """nodes (node, label, ...) with `root`, the smallest node of the component, and `component_id`, its smallest
+    label. Labels may occur on several nodes; nodes are told apart by their number alone."""
+    nodes = nodes.join(components(links), "node", "left")
+    nodes = nodes.withColumn("root", F.coalesce("component", "node")).drop("component")
+    low = nodes.groupBy("root").agg(F.min("label").alias("component_id"))
+    return nodes.join(low, "root")
+
+
 def _state(edges: DataFrame) -> tuple:
     return tuple(edges.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v"))).first())

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ticketlake.llm.common import NO_ID, arrow_batches, documents, keep_rows, stored
-from ticketlake.llm.components import components, local_roots
+from ticketlake.llm.components import local_roots, lowest_labels
 
 BITS = 64
 SEED = 42
@@ -48,7 +48,8 @@ def _fingerprints(shingle: int):
         for batch in batches:
             values = [fingerprint((x or "").encode(), shingle) for x in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(values, pa.int64())], names=["doc_id", "fingerprint"]
+                [batch.column("doc_id"), batch.column("hash"), pa.array(values, pa.int64())],
+                names=["doc_id", "hash", "fingerprint"],
             )
 
     return run
@@ -218,6 +219,18 @@ def links(values: DataFrame, distance: int) -> DataFrame:
         rows = rows.distinct()
 
 
+def _grouped(docs: DataFrame, shingle: int, distance: int, id_col: str, text_col: str) -> DataFrame:
+    """Per input row doc_id (NO_ID for null), hash of the text, fingerprint, root and component_id."""
+    arrow_batches(docs.sparkSession)
+    rows = documents(docs, id_col, text_col, F.xxhash64(F.col(text_col)).alias("hash"))
+    rows = rows.withColumn("doc_id", F.coalesce("doc_id", F.lit(NO_ID)))
+    rows = stored(rows.mapInArrow(_fingerprints(shingle), "doc_id long, hash long, fingerprint long"), "simhash-rows")
+    values = rows.groupBy("fingerprint").agg(F.min("doc_id").alias("label"))
+    values = stored(values.withColumn("node", F.monotonically_increasing_id()), "simhash-values")
+    values = lowest_labels(values, links(values.select("fingerprint", "node"), distance))
+    return rows.join(values.select("fingerprint", "root", "component_id"), "fingerprint")
+
+
 def simhash_groups(
     docs: DataFrame, shingle: int, distance: int, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
@@ -226,26 +239,26 @@ def simhash_groups(
     Fingerprints take whole texts: words between ASCII white space, lower-cased in A-Z, in shingles of
     `shingle` words (fewer words: all of them as one; none: fingerprint zero), XXH64 with seed 42. Equal
     fingerprints are one node, so copies cost nothing; null texts have fingerprint zero like empty ones.
-    A null id sorts last and stays null. An empty table gives an empty result. Other columns are not
-    read.
+    A null id sorts last and stays null; rows that share an id are not linked by that. An empty table
+    gives an empty result. Other columns are not read.
     """
-    arrow_batches(docs.sparkSession)
-    rows = documents(docs, id_col, text_col).withColumn("doc_id", F.coalesce("doc_id", F.lit(NO_ID)))
-    rows = stored(rows.mapInArrow(_fingerprints(shingle), "doc_id long, fingerprint long"), "simhash-rows")
-    values = stored(rows.groupBy("fingerprint").agg(F.min("doc_id").alias("node")), "simhash-values")
-    reached = components(links(values, distance))
-    values = values.join(reached, "node", "left")
-    values = values.select("fingerprint", F.coalesce("component", "node").alias("component_id"))
     some = lambda c: F.when(F.col(c) != NO_ID, F.col(c)).alias(c)
-    return rows.join(values, "fingerprint").select(some("doc_id"), "fingerprint", some("component_id"))
+    rows = _grouped(docs, shingle, distance, id_col, text_col)
+    return rows.select(some("doc_id"), "fingerprint", some("component_id"))
 
 
 def drop_near_duplicates(
     docs: DataFrame, shingle: int, distance: int, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """The row of smallest id of every group, with all its columns; rows that repeat this id and its text become one."""
-    groups = simhash_groups(docs, shingle, distance, id_col, text_col)
-    first = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("keep_id"))
-    first = stored(first.distinct(), "simhash-kept")
-    rows = keep_rows(docs, first, ("keep_id", docs[id_col].cast("long")))
+    """The row of smallest id of every group, with all its columns.
+
+    Of rows with this id the text of smallest hash stays, and rows that repeat id and text become one.
+    """
+    rows = _grouped(docs, shingle, distance, id_col, text_col)
+    first = rows.groupBy("root").agg(F.min(F.struct("doc_id", "hash")).alias("first")).select(
+        F.col("first.doc_id").alias("kept_id"), F.col("first.hash").alias("kept_hash")
+    )
+    first = stored(first, "simhash-kept")
+    doc_id = F.coalesce(docs[id_col].cast("long"), F.lit(NO_ID))
+    rows = keep_rows(docs, first, ("kept_id", doc_id), ("kept_hash", F.xxhash64(docs[text_col])))
     return rows.dropDuplicates([id_col, text_col])

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ticketlake.llm.common import NO_ID, arrow_batches, stored
-from ticketlake.llm.components import components, local_roots
+from ticketlake.llm.components import local_roots, lowest_labels
 
 # Vectors a cluster has on average before overlap, clusters and sampled vectors at most, nearest clusters a
 # vector joins, vectors of a part (larger clusters are cut into parts that meet in pairs).
@@ -209,8 +209,8 @@ def linked_vectors(
 
     Null and zero vectors and such with null or non-finite components link with nothing. Shorter vectors count
     as padded with zeros. Rows with equal directions are one node and link with each other. Every link
-    is verified in double precision. A null id sorts last and stays null; such rows are components
-    together only as far as links join them. An empty table gives an empty result.
+    is verified in double precision. A null id sorts last and stays null; rows that share an id are not linked
+    by that. An empty table gives an empty result.
 
     Shards are clusters around centroids of a bounded sample; a vector joins its nearest OVERLAP. Each shard
     builds robust-pruned neighbour lists, which are united by vector. Cells (parts of a cluster, in
@@ -227,17 +227,17 @@ def linked_vectors(
     rows = rows.mapInArrow(_normal(max(dim, 1)), _VECTORS).withColumn("digest", F.sha2("vec", 256))
     rows = stored(rows, "graph-vectors")
     nodes = rows.where("vec is not null").groupBy("digest").agg(
-        F.min("vec_id").alias("node"), F.count(F.lit(1)).alias("copies"), F.max("vec").alias("vec")
+        F.min("vec_id").alias("label"), F.count(F.lit(1)).alias("copies"), F.max("vec").alias("vec")
     )
-    nodes = stored(nodes, "graph-nodes")
+    nodes = stored(nodes.withColumn("node", F.monotonically_increasing_id()), "graph-nodes")
     found = _found(nodes, threshold)
-    reached = components(found.select(F.col("node").alias("u"), F.col("root").alias("v")))
+    labelled = lowest_labels(
+        nodes.select("node", "label", "digest", "copies"),
+        found.select(F.col("node").alias("u"), F.col("root").alias("v")),
+    )
     links = found.groupBy("node").agg(F.sum("links").alias("links"))
-    nodes = nodes.select("digest", "node", "copies").join(links, "node", "left").join(reached, "node", "left")
-    nodes = nodes.select(
-        "digest",
-        (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"),
-        F.coalesce("component", "node").alias("component_id"),
+    nodes = labelled.join(links, "node", "left").select(
+        "digest", (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), "component_id"
     )
     some = lambda c: F.when(c != NO_ID, c)
     return rows.join(nodes, "digest", "left").select(
