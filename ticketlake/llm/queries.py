@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -115,11 +114,16 @@ def _sha256(column: str):
     return F.sha2(F.col(column).cast("binary"), 256)
 
 
-TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+TOKENIZER = "byte_bpe_50k.json"
 
 
-def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    shared = bpe.tables(spark, TOKENIZER)
+def op9_bpe(spark: SparkSession, sf_dir: str, path: str | None = None) -> DataFrame:
+    """path: the tokenizer file; by default TOKENIZER of the installed public ones."""
+    if path is None:
+        import public_tokenizers
+
+        path = public_tokenizers.path(TOKENIZER)
+    shared = bpe.tables(spark, path)
     ids = bpe.encode(_documents(spark, sf_dir).select("doc_id", "text"), shared)
     ids = ids.withColumns({"n_tokens": (F.octet_length("ids") / 4).cast("long"), "ids_sha256": F.sha2("ids", 256)})
     return bpe.decode(ids, shared, text_col="decoded").select(
