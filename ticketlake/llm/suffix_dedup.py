@@ -197,15 +197,16 @@ def _spans(length: int, buckets: int):
 
 
 def _dealt_out(block, first_of, ranges, hot, length, buckets) -> list[tuple]:
+    """One row for each bucket that the block has something for."""
     spans = np.array([(v[4], v[0], v[1], v[2], v[3], k[1]) for k, v in first_of.items()], _SPAN)
     texts = [k[0] for k in first_of]
     often = np.isin(spans["hash"], hot)
-    out = []
+    out: dict[int, dict[str, bytes]] = {}
     bucket = (_mix(spans["hash"]) >> np.uint64(8)) % np.uint64(buckets)
     cold = np.flatnonzero(~often)
     for b, part in _parts(bucket[cold]):
         at = cold[part]
-        out.append((b, block, spans[at].tobytes(), b"".join([texts[i] for i in at]), None, None))
+        out[b] = {"spans": spans[at].tobytes(), "text": b"".join([texts[i] for i in at])}
     if often.any():
         at = np.flatnonzero(often)
         data = b"".join([texts[i] for i in at])
@@ -220,10 +221,10 @@ def _dealt_out(block, first_of, ranges, hot, length, buckets) -> list[tuple]:
             windows[name] = spans[at][name][owner[first]]
         windows["at"] = spans[at]["at"][owner[first]] + inner[first]
         for b, part in _parts(windows["high"] % np.uint64(buckets)):
-            out.append((b, block, None, None, windows[part].tobytes(), None))
+            out.setdefault(b, {})["windows"] = windows[part].tobytes()
     if ranges:
-        out.append((block % buckets, block, None, None, None, np.array(ranges, _RANGE).tobytes()))
-    return out
+        out.setdefault(block % buckets, {})["ranges"] = np.array(ranges, _RANGE).tobytes()
+    return [(b, block, *(row.get(c) for c in ("spans", "text", "windows", "ranges"))) for b, row in out.items()]
 
 
 def _starts(spans: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -415,7 +416,8 @@ def repeated_bytes(
     whole = rows.select("block", "doc_id", "digest", F.octet_length("text").alias("n"), F.unhex(F.sha2("text", 256)).alias("sha"))
     whole = stored(whole, "suffix-digests")
     total = whole.agg(F.sum("n")).first()[0] or 0
-    buckets = max(4 * int(spark.conf.get("spark.sql.shuffle.partitions")), total // 30 // BUCKET_ANCHORS)
+    # a block sends each bucket a row or two, so buckets are no more than the work needs
+    buckets = max(2 * int(spark.conf.get("spark.sql.shuffle.partitions")), total // 30 // BUCKET_ANCHORS)
     first = whole.groupBy("sha").agg(F.min("doc_id").alias("first"))
     copies = whole.where(F.col("n") >= length).join(first, "sha").where("doc_id > first")
     packed = _copies(copies)
