@@ -40,12 +40,12 @@ def test_known_words_come_first_and_unseen_ones_back_off(model):
     assert all(w not in model.units[0] for w in ("kalomitrenka", "k", "qqq"))
     grams = [model.units[4][g] for g in language.grams("kalomitrenka", 4) if g in model.units[4]]
     want = model.logs[4][grams].mean(0) + language.STEP_COST
-    assert np.allclose(model.unseen("kalomitrenka"), want)
+    assert np.allclose(model.unseen(["kalomitrenka"])[0], want)
     # only single characters are known: three steps down
     only = [model.units[1][g] for g in "öö" if g in model.units[1]]
     short = language.Model(model.langs, model.prior, [{}, model.units[1], {}, {}, {}], model.logs)
-    assert np.allclose(short.unseen("öö"), model.logs[1][only].mean(0) + 4 * language.STEP_COST)
-    assert (model.unseen("中") == 0).all()
+    assert np.allclose(short.unseen(["öö"])[0], model.logs[1][only].mean(0) + 4 * language.STEP_COST)
+    assert (model.unseen(["中"]) == 0).all()
 
 
 def test_counts_cover_all_rows(model):
@@ -60,6 +60,16 @@ def test_counts_cover_all_rows(model):
         assert np.allclose(model.logs[0][row], np.log(share))
 
 
+def test_the_model_is_bounded_and_keeps_the_most_frequent(spark):
+    rows = [(f"w{i}", "xx", 1) for i in range(400)] + [(f"f{i}", "xx", 40 + i) for i in range(30)]
+    rows += [("f0", "yy", 2)]
+    counts = spark.createDataFrame(rows, "unit string, lang string, n bigint").repartition(3)
+    kept = {r["unit"]: dict(r["langs"]) for r in language._most_frequent(counts, 130)}
+    assert {f"f{i}" for i in range(30)} <= kept.keys() and kept["f0"] == {"xx": 40, "yy": 2}
+    assert 100 <= len(kept) <= 160
+    assert len(language._most_frequent(counts, 1000)) == 430
+
+
 def test_odd_rows_empty_tables_and_no_languages(spark, docs, odd_rows, empty, model):
     found = language.predict(docs(odd_rows), model)
     assert found.columns == ["doc_id", "text", *(c for c in CLASHING if c != "score"), "lang_pred", "score"]

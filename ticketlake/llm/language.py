@@ -45,13 +45,27 @@ class Model:
     units: list[dict[str, int]]
     logs: list[np.ndarray]
 
-    def unseen(self, word: str) -> np.ndarray:
-        """Mean log frequency of the longest n-grams the model knows in the word."""
-        for n in range(LONGEST, 0, -1):
-            known = [self.units[n][g] for g in grams(word, n) if g in self.units[n]]
-            if known:
-                return self.logs[n][known].mean(0) + STEP_COST * (LONGEST + 1 - n)
-        return np.zeros(len(self.langs))
+    def unseen(self, fresh: list[str]) -> np.ndarray:
+        """Per word the mean log frequency of the longest n-grams the model knows in it; zero if it knows none."""
+        out = np.zeros((len(fresh), len(self.langs)))
+        at: list[list[int]] = [[] for _ in range(LONGEST + 1)]
+        rows: list[list[int]] = [[] for _ in range(LONGEST + 1)]
+        sizes: list[list[int]] = [[] for _ in range(LONGEST + 1)]
+        for i, word in enumerate(fresh):
+            for n in range(LONGEST, 0, -1):
+                units = self.units[n]
+                known = [units[g] for g in grams(word, n) if g in units]
+                if known:
+                    at[n].append(i)
+                    rows[n] += known
+                    sizes[n].append(len(known))
+                    break
+        for n in range(1, LONGEST + 1):
+            if at[n]:
+                size = np.array(sizes[n])
+                sums = np.add.reduceat(self.logs[n][rows[n]], np.cumsum(size) - size)
+                out[at[n]] = sums / size[:, None] + STEP_COST * (LONGEST + 1 - n)
+        return out
 
     def predict(self, text: str | None, remembered: dict[str, np.ndarray]) -> tuple[str, float]:
         """The likeliest language and its posterior probability."""
@@ -59,21 +73,17 @@ class Model:
         if not counts or not self.langs:
             return UNKNOWN, 0.0
         total = self.prior.copy()
-        rows, times = [], []
-        for word, n in counts.items():
-            row = self.units[0].get(word)
-            if row is not None:
-                rows.append(row)
-                times.append(n)
-                continue
-            value = remembered.get(word)
-            if value is None:
-                if len(remembered) >= _HELD_WORDS:
-                    remembered.clear()
-                value = remembered[word] = self.unseen(word)
-            total += n * value
-        if rows:
-            total += np.array(times, float) @ self.logs[0][rows]
+        known = {word: row for word in counts if (row := self.units[0].get(word)) is not None}
+        if known:
+            total += np.array([counts[word] for word in known], float) @ self.logs[0][list(known.values())]
+        others = [word for word in counts if word not in known]
+        if others:
+            if len(remembered) > _HELD_WORDS:
+                remembered.clear()
+            fresh = [word for word in others if word not in remembered]
+            remembered.update(zip(fresh, self.unseen(fresh), strict=True))
+            times = np.array([counts[word] for word in others], float)
+            total += times @ np.array([remembered[word] for word in others])
         chance = np.exp(total - total.max())
         best = int(chance.argmax())
         return self.langs[best], float(chance[best] / chance.sum())
@@ -118,17 +128,28 @@ def _grams(counts: Counter) -> pa.RecordBatch:
 
 
 def _most_frequent(counts: DataFrame, most: int) -> list:
-    """Per unit the counts by language, for the most frequent units (ties: by the unit)."""
+    """Per unit the counts by language, for about `most` of the most frequent units.
+
+    Frequencies are told apart by sixteenths of a doubling; of the last class that fits in part, units of
+    smallest hash are taken. So no task sends more than its share of the units that are kept.
+    """
     by_unit = counts.groupBy("unit").agg(
-        F.sum("n").alias("total"), F.collect_list(F.struct("lang", "n")).alias("langs")
+        F.floor(F.log2(F.sum("n")) * 16).alias("class"), F.collect_list(F.struct("lang", "n")).alias("langs")
     )
-    return by_unit.orderBy(F.desc("total"), "unit").limit(most).collect()
+    room, last, share = most, -1, 1.0
+    for frequency, size in sorted(by_unit.groupBy("class").count().collect(), reverse=True):
+        if size > room:
+            last, share = frequency, room / size
+            break
+        room -= size
+    drawn = F.pmod(F.xxhash64("unit"), F.lit(1 << 40)) / float(1 << 40) < share
+    return by_unit.where((F.col("class") > last) | ((F.col("class") == last) & drawn)).select("unit", "langs").collect()
 
 
 def fit(corpus: DataFrame, text_col: str = "text", lang_col: str = "lang") -> Model:
-    """Counts cover every text with a language. The model keeps the MAX_WORDS most frequent words and the
-    MAX_GRAMS most frequent n-grams of each length, which bounds it whatever the corpus; words beyond
-    are scored by their n-grams. Rows without a text, a letter or a language don't teach.
+    """Counts cover every text with a language. The model keeps about MAX_WORDS of the most frequent
+    words and MAX_GRAMS of the most frequent n-grams of each length, which bounds it whatever the corpus; words
+    beyond are scored by their n-grams. Rows without a text, a letter or a language don't teach.
     """
     arrow_batches(corpus.sparkSession)
     taught = corpus.select(F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang"))
@@ -147,9 +168,9 @@ def fit(corpus: DataFrame, text_col: str = "text", lang_col: str = "lang") -> Mo
     units, logs = [], []
     for length in range(LONGEST + 1):
         counts = by_length.where(F.col("length") == length) if length else counted
-        rows = _most_frequent(counts, MAX_GRAMS if length else MAX_WORDS)
-        sums = counts.groupBy("lang").agg(F.sum("n"))
-        whole = np.array([dict(sums.collect()).get(lang, 0) for lang in langs], float)
+        rows = sorted(_most_frequent(counts, MAX_GRAMS if length else MAX_WORDS), key=lambda r: r["unit"])
+        sums = dict(counts.groupBy("lang").agg(F.sum("n")).collect())
+        whole = np.array([sums.get(lang, 0) for lang in langs], float)
         table = np.zeros((len(rows), len(langs)))
         for i, row in enumerate(rows):
             for lang, n in row["langs"]:
