@@ -99,3 +99,31 @@ def test_the_audit_asks_for_more_overlap(spark, monkeypatch):
     found = sum(n for _, n, _ in result(vector_graph.linked_vectors(table(spark, rows))))
     assert asked[0] == 1 and asked[-1] > 1
     assert found >= 0.95 * sum(n for _, n, _ in brute_force(rows))
+
+
+def scattered_pairs(seed, n, dim=64):
+    """Evenly spread vectors; every second one lies close to the one before it."""
+    rng = np.random.default_rng(seed)
+    x = rng.normal(size=(n, dim))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    x[1::2] = x[::2] + rng.normal(size=x[::2].shape) * 0.28 / np.sqrt(dim)
+    return x
+
+
+def test_links_of_vectors_outside_the_sample_are_audited(spark, monkeypatch):
+    """Each sampled vector has a centroid of its own; the others meet in too few clusters."""
+    monkeypatch.setattr(vector_graph, "CLUSTER", 8)
+    monkeypatch.setattr(vector_graph, "SAMPLE_PER_CLUSTER", 1)
+    monkeypatch.setattr(vector_graph, "AUDITED", 32)
+    rows = [(i, v.tolist()) for i, v in enumerate(scattered_pairs(5, 600))]
+    found = sum(n for _, n, _ in result(vector_graph.linked_vectors(table(spark, rows))))
+    assert found >= 0.98 * sum(n for _, n, _ in brute_force(rows))
+
+
+def test_all_vectors_are_compared_where_the_search_finds_too_little(spark, monkeypatch):
+    """Also in several chunks: neither the search nor the number of chunks changes the result."""
+    nothing = lambda nodes, *a: nodes.select("node", nodes.node.alias("links"), nodes.node.alias("root")).limit(0)
+    monkeypatch.setattr(vector_graph, "_searched", nothing)
+    monkeypatch.setattr(vector_graph, "CHUNK", 70)
+    rows = [(i, v.tolist()) for i, v in enumerate(clustered(6, 200))] + [(900, clustered(6, 200)[7].tolist())]
+    assert result(vector_graph.linked_vectors(table(spark, rows))) == brute_force(rows)

@@ -9,6 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ticketlake.config import fresh_dir
 from ticketlake.llm.common import NO_ID, arrow_batches, stored
 from ticketlake.llm.components import local_roots, lowest_labels
 
@@ -18,8 +19,10 @@ CLUSTER, MAX_CLUSTERS, SAMPLE_PER_CLUSTER, OVERLAP, PART = 256, 16_384, 8, 2, 10
 # Neighbours kept, candidates looked at, how much nearer a kept neighbour must be to hide a candidate, and the
 # beam of the greedy search.
 DEGREE, CANDIDATES, ALPHA, BEAM = 24, 64, 1.2, 32
-# The search goes on from vectors this far below the threshold; vectors audited; the recall that is asked for.
-SLACK, AUDITED, RECALL = 0.1, 512, 0.98
+# The search goes on from vectors this far below the threshold; vectors drawn at first and linked vectors wanted for
+# the audit; the recall that is asked for. Vectors and bytes that are compared with all others at once.
+SLACK, AUDITED, LINKED, RECALL = 0.1, 512, 256, 0.98
+CHUNK, CHUNK_BYTES = 8192, 32 << 20
 
 _VECTORS = "vec_id long, vec binary"
 _CELL = "node long, links long, root long"
@@ -214,8 +217,10 @@ def linked_vectors(
 
     Shards are clusters around centroids of a bounded sample; a vector joins its nearest OVERLAP. Each shard
     builds robust-pruned neighbour lists, which are united by vector. Cells (parts of a cluster, in
-    pairs) run the searches, and a pair counts in the smallest cluster that both share. An audit compares
-    AUDITED vectors with all others; while too few links are found, vectors join twice as many clusters.
+    pairs) run the searches, and a pair counts in the smallest cluster that both share. An audit draws vectors
+    outside the sample until LINKED of them have links (or none are left) and compares them with all others; while
+    too few links are found, vectors join twice as many clusters. Where that costs as much as comparing all
+    vectors, all are compared.
     """
     spark = vectors.sparkSession
     arrow_batches(spark)
@@ -252,37 +257,88 @@ def _found(nodes: DataFrame, threshold: float) -> DataFrame:
     spark = nodes.sparkSession
     n = nodes.count()
     k = min(MAX_CLUSTERS, max(1, n // CLUSTER))
-    picked = nodes.orderBy(F.xxhash64("digest")).limit(k * SAMPLE_PER_CLUSTER).select("node", "vec").collect()
+    drawn = nodes.select("node", "vec", F.xxhash64("digest").alias("rank"))
+    picked = drawn.orderBy("rank").limit(k * SAMPLE_PER_CLUSTER).collect()
     if not picked:
         return spark.createDataFrame([], _CELL)
     sample = np.stack([np.frombuffer(r["vec"]) for r in picked])
     shared = spark.sparkContext.broadcast(centroids(sample, min(k, len(sample))))
-    audited = [r["node"] for r in picked[:AUDITED]], sample[:AUDITED]
-    exact = _exact_links(nodes, *audited, threshold)
+    links = _audited(nodes, picked[-1]["rank"] if n > len(picked) else None, threshold)
     overlap = OVERLAP
     while True:
         found = stored(_searched(nodes, shared, overlap, threshold), "graph-found")
-        mine = found.where(F.col("node").isin(audited[0])).groupBy("node").agg(F.sum("links"))
-        recall = sum(dict(mine.collect()).values()) / max(1, exact)
-        if not exact or recall >= RECALL or overlap >= k:
+        if _recall(found, links) >= RECALL:
             return found
-        overlap = min(k, 2 * overlap)
-
-
-def _exact_links(nodes: DataFrame, ids: list[int], sample: np.ndarray, threshold: float) -> int:
-    """All links of the audited vectors, by blocked products with every vector."""
-    shared = nodes.sparkSession.sparkContext.broadcast((np.array(ids), sample))
+        overlap *= 2
+        if overlap >= k or CLUSTER * overlap**2 >= n:
+            return _all_compared(nodes, threshold)
+
+
+def _audited(nodes: DataFrame, sampled_to: int | None, threshold: float) -> dict[int, int]:
+    """All links of vectors drawn outside the sample, of those that have any: a sampled vector is
+    nearer to its centroid than others are."""
+    rank = F.xxhash64("digest", F.lit(1))
+    others = nodes if sampled_to is None else nodes.where(F.xxhash64("digest") > sampled_to)
+    links: dict[int, int] = {}
+    for ids, vectors in _chunks(others.select("node", "vec", rank.alias("rank")), AUDITED):
+        linked = _compared(nodes, ids, vectors, threshold).where("links > 0").groupBy("node").agg(F.sum("links"))
+        links.update(map(tuple, linked.collect()))
+        if len(links) >= LINKED:
+            break
+    return links
+
+
+def _recall(found: DataFrame, links: dict[int, int]) -> float:
+    """The smaller of the share of the audited links that was found and the mean share by vector."""
+    if not links:
+        return 1.0
+    audited = found.sparkSession.createDataFrame([(i,) for i in links], "node long")
+    mine = dict(found.join(F.broadcast(audited), "node").groupBy("node").agg(F.sum("links")).collect())
+    got, want = (np.array([x.get(i, 0) for i in links], float) for x in (mine, links))
+    return float(min(got.sum() / want.sum(), (got / want).mean()))
+
+
+def _chunks(ranked: DataFrame, first: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Numbers and vectors of (node, vec, rank) by rank, `first` and then twice as many each time as far as they fit."""
+    last, size, rest = None, first, ranked
+    while rows := rest.orderBy("rank").limit(size).collect():
+        vectors = np.stack([np.frombuffer(r["vec"]) for r in rows])
+        yield np.array([r["node"] for r in rows]), vectors
+        last = rows[-1]["rank"]
+        size = max(1, min(2 * size, CHUNK, CHUNK_BYTES // vectors[0].nbytes))
+        rest = ranked.where(F.col("rank") > last)
+
+
+def _compared(nodes: DataFrame, ids: np.ndarray, vectors: np.ndarray, threshold: float) -> DataFrame:
+    """(node, links, root) of the given vectors, by blocked products with every vector; vectors that they
+    link with come with their root and no links."""
+    shared = nodes.sparkSession.sparkContext.broadcast((ids, vectors))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, sample = shared.value
-        total = 0
+        ids, vectors = shared.value
         for batch in batches:
-            close = _matrix(batch.column("vec")) @ sample.T >= threshold
-            close &= batch.column("node").to_numpy()[:, None] != ids
-            total += int((close * batch.column("copies").to_numpy()[:, None]).sum())
-        yield pa.RecordBatch.from_arrays([pa.array([total], pa.int64())], names=["links"])
-
-    return nodes.select("node", "copies", "vec").mapInArrow(run, "links long").agg(F.sum("links")).first()[0] or 0
+            if not batch.num_rows:
+                continue
+            node, copies = batch.column("node").to_numpy(), batch.column("copies").to_numpy()
+            x = _matrix(batch.column("vec"))
+            for at in range(0, len(ids), 512):
+                mine = ids[at : at + 512]
+                a, b = np.nonzero((x @ vectors[at : at + 512].T >= threshold) & (node[:, None] != mine))
+                links = np.bincount(b, weights=copies[a], minlength=len(mine)).astype(np.int64)
+                members, roots = local_roots(node[a], mine[b])
+                counts = dict(zip(mine.tolist(), links.tolist(), strict=True))
+                arrays = members, np.array([counts.get(m, 0) for m in members.tolist()], np.int64), roots
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in arrays], names=["node", "links", "root"])
+
+    return nodes.select("node", "copies", "vec").mapInArrow(run, _CELL)
+
+
+def _all_compared(nodes: DataFrame, threshold: float) -> DataFrame:
+    """(node, links, root) of all vectors, exactly."""
+    path = fresh_dir(nodes.sparkSession, "graph-compared")
+    for ids, vectors in _chunks(nodes.select("node", "vec", F.col("node").alias("rank")), CHUNK):
+        _compared(nodes, ids, vectors, threshold).write.mode("append").parquet(path)
+    return nodes.sparkSession.read.schema(_CELL).parquet(path)
 
 
 def _searched(nodes: DataFrame, shared, overlap: int, threshold: float) -> DataFrame:
