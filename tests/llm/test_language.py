@@ -79,3 +79,16 @@ def test_odd_rows_empty_tables_and_no_languages(spark, docs, odd_rows, empty, mo
     assert language.predict(empty, model).count() == 0
     nothing = language.fit(spark.createDataFrame([], "text string, lang string"))
     assert {(r["lang_pred"], r["score"]) for r in language.predict(docs(odd_rows), nothing).collect()} == {("und", 0.0)}
+
+
+def test_units_that_no_task_holds_count_as_well(spark, monkeypatch, docs, model):
+    """Nearly all words and n-grams are looked up; every score stays as if all were held."""
+    monkeypatch.setattr(language, "MAX_WORDS", 4)
+    monkeypatch.setattr(language, "MAX_GRAMS", 3)
+    rows = [(t, lang) for _, t, lang in corpus(1, 200)]
+    few = language.fit(spark.createDataFrame(rows, "text string, lang string").repartition(3))
+    assert all(len(few.units[n]) < len(model.units[n]) for n in (0, 2, 3, 4))
+    table = docs([(i, t) for i, t, _ in corpus(2, 60)] + [(900, "kalomitrenka öö 中 qqq"), (901, None), (901, None)])
+    got, want = (sorted((r[0], r["lang_pred"], r["score"]) for r in language.predict(table, m).collect()) for m in (few, model))
+    assert [x[:2] for x in got] == [x[:2] for x in want]
+    assert np.allclose([x[2] for x in got], [x[2] for x in want], rtol=1e-9, atol=0)

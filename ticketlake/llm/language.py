@@ -5,22 +5,22 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field, replace
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ticketlake.llm.common import arrow_batches, stored
 
-# Words and n-grams of each length that the model keeps, the most frequent ones; longest n-gram; what a step to
-# shorter n-grams costs; the weight of a unit that a language doesn't have.
+# Words and n-grams of each length that every task holds, the most frequent ones (all others are looked up in stored
+# tables); longest n-gram; what a step to shorter n-grams costs; the weight of a unit that a language doesn't have.
 MAX_WORDS, MAX_GRAMS, LONGEST, STEP_COST, SMOOTHING = 50_000, 20_000, 4, float(np.log(0.4)), 0.1
 UNKNOWN = "und"
-# Distinct words a task counts or scores before it hands them on or forgets them.
-_HELD_WORDS = 200_000
+# Distinct words or texts a task holds before it hands them on or forgets them; words that a block of texts asks for
+# and unseen words that a block scores, on average.
+_HELD_WORDS, BLOCK_WORDS, BLOCK_UNSEEN = 200_000, 200_000, 50_000
 
 _WORD = re.compile(r"[^\W\d_]+")
 
@@ -38,23 +38,39 @@ def grams(word: str, n: int) -> list[str]:
 
 @dataclass
 class Model:
-    """Log frequencies: for each length (0: whole words) a row a unit and a column a language."""
+    """Log frequencies of the most frequent units: for each length (0: whole words) a row a unit and a column a
+    language. `counts` has all words and all n-grams (lang, unit, n), `whole` and `distinct` their
+    occurrences by language and their number for each length."""
 
     langs: list[str]
     prior: np.ndarray
     units: list[dict[str, int]]
     logs: list[np.ndarray]
+    counts: list[DataFrame] = field(default_factory=list)
+    whole: list[np.ndarray] = field(default_factory=list)
+    distinct: list[int] = field(default_factory=list)
+
+    def frequencies(self, length: int, langs: list[list]) -> np.ndarray:
+        """Log frequencies of units of a length by their counts (lang, n)."""
+        at = {lang: i for i, lang in enumerate(self.langs)}
+        table = np.zeros((len(langs), len(at)))
+        for i, counts in enumerate(langs):
+            for lang, n in counts:
+                table[i, at[lang]] = n
+        return np.log((table + SMOOTHING) / (self.whole[length] + SMOOTHING * max(1, self.distinct[length])))
 
-    def unseen(self, fresh: list[str]) -> np.ndarray:
-        """Per word the mean log frequency of the longest n-grams the model knows in it; zero if it knows none."""
+    def unseen(self, fresh: list[str], more: dict[str, np.ndarray] | None = None) -> np.ndarray:
+        """Per word the mean log frequency of the longest n-grams the model knows in it; zero if it knows none.
+        `more` has the log frequencies of those that it doesn't hold itself."""
         out = np.zeros((len(fresh), len(self.langs)))
         at: list[list[int]] = [[] for _ in range(LONGEST + 1)]
         rows: list[list[int]] = [[] for _ in range(LONGEST + 1)]
         sizes: list[list[int]] = [[] for _ in range(LONGEST + 1)]
+        place = {gram: i for i, gram in enumerate(more or {})}
         for i, word in enumerate(fresh):
             for n in range(LONGEST, 0, -1):
-                units = self.units[n]
-                known = [units[g] for g in grams(word, n) if g in units]
+                units, held = self.units[n], len(self.logs[n])
+                known = [units[g] if g in units else held + place[g] for g in grams(word, n) if g in units or g in place]
                 if known:
                     at[n].append(i)
                     rows[n] += known
@@ -63,27 +79,31 @@ class Model:
         for n in range(1, LONGEST + 1):
             if at[n]:
                 size = np.array(sizes[n])
-                sums = np.add.reduceat(self.logs[n][rows[n]], np.cumsum(size) - size)
+                logs = np.concatenate([self.logs[n], list(more.values())]) if more else self.logs[n]
+                sums = np.add.reduceat(logs[rows[n]], np.cumsum(size) - size)
                 out[at[n]] = sums / size[:, None] + STEP_COST * (LONGEST + 1 - n)
         return out
 
-    def predict(self, text: str | None, remembered: dict[str, np.ndarray]) -> tuple[str, float]:
-        """The likeliest language and its posterior probability."""
-        counts = Counter(words(text))
-        if not counts or not self.langs:
-            return UNKNOWN, 0.0
+    def beyond(self, word: str) -> list[str]:
+        """The n-grams of an unseen word that must be looked up."""
+        out: list[str] = []
+        for n in range(LONGEST, 0, -1):
+            here = set(grams(word, n))
+            out += [gram for gram in here if gram not in self.units[n]]
+            if any(gram in self.units[n] for gram in here):
+                break
+        return out
+
+    def read(self, counts: Counter) -> tuple[np.ndarray, dict[str, int]]:
+        """The sum over the words that the model holds, and the others' counts."""
         total = self.prior.copy()
         known = {word: row for word in counts if (row := self.units[0].get(word)) is not None}
         if known:
             total += np.array([counts[word] for word in known], float) @ self.logs[0][list(known.values())]
-        others = [word for word in counts if word not in known]
-        if others:
-            if len(remembered) > _HELD_WORDS:
-                remembered.clear()
-            fresh = [word for word in others if word not in remembered]
-            remembered.update(zip(fresh, self.unseen(fresh), strict=True))
-            times = np.array([counts[word] for word in others], float)
-            total += times @ np.array([remembered[word] for word in others])
+        return total, {word: n for word, n in counts.items() if word not in known}
+
+    def decide(self, total: np.ndarray) -> tuple[str, float]:
+        """The likeliest language and its posterior probability."""
         chance = np.exp(total - total.max())
         best = int(chance.argmax())
         return self.langs[best], float(chance[best] / chance.sum())
@@ -147,9 +167,10 @@ def _most_frequent(counts: DataFrame, most: int) -> list:
 
 
 def fit(corpus: DataFrame, text_col: str = "text", lang_col: str = "lang") -> Model:
-    """Counts cover every text with a language. The model keeps about MAX_WORDS of the most frequent
-    words and MAX_GRAMS of the most frequent n-grams of each length, which bounds it whatever the corpus; words
-    beyond are scored by their n-grams. Rows without a text, a letter or a language don't teach.
+    """Counts cover every text with a language. The model holds about MAX_WORDS of the most frequent
+    words and MAX_GRAMS of the most frequent n-grams of each length, which bounds it whatever the corpus; the
+    others stay in stored tables, and what is held changes no score. Rows without a text, a letter or
+    a language don't teach.
     """
     arrow_batches(corpus.sparkSession)
     taught = corpus.select(F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang"))
@@ -164,38 +185,124 @@ def fit(corpus: DataFrame, text_col: str = "text", lang_col: str = "lang") -> Mo
     by_length = by_length.groupBy("lang", "length", "unit").agg(F.sum("n").alias("n"))
     by_length = stored(by_length, "language-grams")
 
-    at = {lang: i for i, lang in enumerate(langs)}
-    units, logs = [], []
+    sums = {(0, lang): n for lang, n in totals.items()}
+    sums |= {(r[0], r[1]): r[2] for r in by_length.groupBy("length", "lang").agg(F.sum("n")).collect()}
+    distinct = {0: counted.agg(F.count_distinct("unit")).first()[0]}
+    distinct |= dict(by_length.groupBy("length").agg(F.count_distinct("unit")).collect())
+    seen = np.array([totals[lang] for lang in langs], float)
+    model = Model(langs, np.log(seen / seen.sum()), [], [], [counted, by_length.select("lang", "unit", "n")])
     for length in range(LONGEST + 1):
         counts = by_length.where(F.col("length") == length) if length else counted
         rows = sorted(_most_frequent(counts, MAX_GRAMS if length else MAX_WORDS), key=lambda r: r["unit"])
-        sums = dict(counts.groupBy("lang").agg(F.sum("n")).collect())
-        whole = np.array([sums.get(lang, 0) for lang in langs], float)
-        table = np.zeros((len(rows), len(langs)))
-        for i, row in enumerate(rows):
-            for lang, n in row["langs"]:
-                table[i, at[lang]] = n
-        units.append({row["unit"]: i for i, row in enumerate(rows)})
-        logs.append(np.log((table + SMOOTHING) / (whole + SMOOTHING * max(1, len(rows)))))
-    seen = np.array([totals[lang] for lang in langs], float)
-    return Model(langs, np.log(seen / seen.sum()), units, logs)
+        model.whole.append(np.array([sums.get((length, lang), 0) for lang in langs], float))
+        model.distinct.append(distinct.get(length, 0))
+        model.units.append({row["unit"]: i for i, row in enumerate(rows)})
+        model.logs.append(model.frequencies(length, [row["langs"] for row in rows]))
+    return model
+
+
+_READ = "digest string, total binary, words array<string>, times array<long>"
 
 
-def _predicted(shared):
+def _read(shared):
+    """Texts of a task once each; such without letters are left out."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, remembered = shared.value, {}
+        model, met = shared.value, set()
         for batch in batches:
-            found = [model.predict(x, remembered) for x in batch.column(_TEXT).to_pylist()]
-            lang, score = zip(*found, strict=True) if found else ([], [])
-            arrays = [pa.array(lang, pa.string()), pa.array(score, pa.float64())]
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, *arrays], names=[*batch.schema.names, "predicted_lang", "predicted_score"]
-            )
+            out = []
+            for digest, text in zip(*(batch.column(c).to_pylist() for c in ("digest", "text")), strict=True):
+                if digest in met or not (counts := Counter(words(text))):
+                    continue
+                if len(met) > _HELD_WORDS:
+                    met.clear()
+                met.add(digest)
+                total, others = model.read(counts)
+                out.append((digest, total.tobytes(), list(others), list(others.values())))
+            types = pa.string(), pa.binary(), pa.list_(pa.string()), pa.list_(pa.int64())
+            columns = zip(*out, strict=True) if out else [[]] * 4
+            arrays = [pa.array(c, t) for c, t in zip(columns, types, strict=True)]
+            yield pa.RecordBatch.from_arrays(arrays, names=["digest", "total", "words", "times"])
 
     return run
 
 
-_TEXT = "text_to_read"
+def _scores(names: list[str], scores: np.ndarray) -> list[pa.Array]:
+    return [pa.array(names, pa.string()), pa.array([row.tobytes() for row in scores], pa.binary())]
+
+
+def _pairs(column: pa.Array | pa.ChunkedArray) -> list[list[tuple]]:
+    return [[(x["lang"], x["n"]) for x in counts] for counts in column.to_pylist()]
+
+
+def _known(shared):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            scores = shared.value.frequencies(0, _pairs(batch.column("langs")))
+            yield pa.RecordBatch.from_arrays(_scores(batch.column("unit").to_pylist(), scores), names=["unit", "score"])
+
+    return run
+
+
+def _beyond(shared):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            block, word = (batch.column(c).to_pylist() for c in ("block", "unit"))
+            asked = {(b, gram) for b, w in zip(block, word, strict=True) for gram in shared.value.beyond(w)}
+            block, gram = zip(*asked, strict=True) if asked else ([], [])
+            yield pa.RecordBatch.from_arrays([pa.array(block, pa.int64()), pa.array(gram, pa.string())], names=["block", "unit"])
+
+    return run
+
+
+def _unseen(shared):
+    def run(fresh: pa.Table, found: pa.Table) -> pa.Table:
+        model, more = shared.value, {}
+        langs = _pairs(found.column("langs"))
+        for gram, counts in zip(found.column("unit").to_pylist(), langs, strict=True):
+            more[gram] = model.frequencies(len(gram), [counts])[0]
+        names = fresh.column("unit").to_pylist()
+        return pa.Table.from_arrays(_scores(names, model.unseen(names, more)), names=["unit", "score"])
+
+    return run
+
+
+def _decided(shared):
+    def run(texts: pa.Table, answers: pa.Table) -> pa.Table:
+        model, out = shared.value, {}
+        place = {word: i for i, word in enumerate(answers.column("unit").to_pylist())}
+        scores = np.frombuffer(b"".join(answers.column("score").to_pylist())).reshape(len(place), len(model.langs))
+        columns = (texts.column(c).to_pylist() for c in ("digest", "total", "words", "times"))
+        for digest, total, asked, times in zip(*columns, strict=True):
+            if digest not in out:
+                total = np.frombuffer(total)
+                if asked:
+                    total = total + np.array(times, float) @ scores[[place[word] for word in asked]]
+                out[digest] = model.decide(total)
+        lang, score = zip(*out.values(), strict=True) if out else ([], [])
+        arrays = [pa.array(list(out), pa.string()), pa.array(lang, pa.string()), pa.array(score, pa.float64())]
+        return pa.Table.from_arrays(arrays, names=[_DIGEST, "predicted_lang", "predicted_score"])
+
+    return run
+
+
+def _word_scores(asked: DataFrame, model: Model, shared) -> DataFrame:
+    """(unit, score) of distinct words: by their own counts, and by those of their n-grams if they have none."""
+    least = int(asked.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    words_, grams_ = (
+        counts.groupBy("unit").agg(F.collect_list(F.struct("lang", "n")).alias("langs")) for counts in model.counts
+    )
+    asked = stored(asked.join(words_, "unit", "left"), "language-asked")
+    fresh = asked.where("langs is null").select("unit")
+    blocks = max(least, -(-fresh.count() // BLOCK_UNSEEN))
+    fresh = fresh.select(F.pmod(F.xxhash64("unit"), F.lit(blocks)).alias("block"), "unit")
+    found = fresh.mapInArrow(_beyond(shared), "block long, unit string").distinct().join(grams_, "unit")
+    unseen = fresh.groupBy("block").cogroup(found.groupBy("block")).applyInArrow(_unseen(shared), "unit string, score binary")
+    known = asked.where("langs is not null").mapInArrow(_known(shared), "unit string, score binary")
+    return stored(known.union(unseen), "language-scores")
+
+
+_DIGEST = "digest_to_read"
 
 
 def predict(
@@ -205,13 +312,34 @@ def predict(
 
     A null text, one without letters, or a model that learnt nothing gives `und` and 0. Columns of the
     input that are named like the two new ones are replaced. Whole texts are read.
+
+    Each distinct text is read once a task: words that the model holds are summed, the others are kept. Blocks of
+    texts ask the stored counts once for each such word; of those nobody learnt, blocks of words ask for
+    their n-grams. The answers complete the sums, and rows meet them by the digest of their text.
     """
-    arrow_batches(docs.sparkSession)
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    spark = docs.sparkSession
+    arrow_batches(spark)
     rows = docs.drop(*({lang_col, score_col} - {text_col}))
-    held = rows.select(F.struct(*(rows[c] for c in rows.columns)).alias("row"), F.col(text_col).alias(_TEXT))
-    new = [T.StructField("predicted_lang", T.StringType()), T.StructField("predicted_score", T.DoubleType())]
-    found = held.mapInArrow(_predicted(shared), T.StructType([*held.schema.fields, *new]))
+    unknown = F.lit(UNKNOWN), F.lit(0.0)
+    if not model.langs:
+        return rows.select("*", unknown[0].alias(lang_col), unknown[1].alias(score_col))
+    shared = spark.sparkContext.broadcast(replace(model, counts=[]))
+    digest = F.sha2(F.col(text_col), 256)
+    texts = rows.select(digest.alias("digest"), F.col(text_col).alias("text")).where("text is not null")
+    texts = stored(texts.mapInArrow(_read(shared), _READ), "language-read")
+    size = texts.agg(F.sum(F.size("words") + 1)).first()[0] or 0
+    blocks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // BLOCK_WORDS))
+    texts = texts.withColumn("block", F.pmod(F.xxhash64("digest"), F.lit(blocks)))
+    asked = texts.select(F.col("block").alias("asker"), F.explode("words").alias("unit"))
+    scores = _word_scores(asked.select("unit").distinct(), model, shared)
+    answers = asked.distinct().join(scores, "unit")
+    found = texts.groupBy("block").cogroup(answers.groupBy("asker")).applyInArrow(
+        _decided(shared), f"{_DIGEST} string, predicted_lang string, predicted_score double"
+    )
+    nobody = F.concat(F.lit("-"), F.monotonically_increasing_id())  # spreads null texts, meets nothing
+    found = rows.withColumn(_DIGEST, F.coalesce(digest, nobody)).join(found, _DIGEST, "left").drop(_DIGEST)
     return found.select(
-        "row.*", F.col("predicted_lang").alias(lang_col), F.col("predicted_score").alias(score_col)
+        *(f"`{c}`" for c in rows.columns),
+        F.coalesce("predicted_lang", unknown[0]).alias(lang_col),
+        F.coalesce("predicted_score", unknown[1]).alias(score_col),
     )
