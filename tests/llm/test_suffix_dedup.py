@@ -97,3 +97,13 @@ def test_texts_stay_whole_characters_and_columns_stay(docs, empty):
     assert suffix_dedup.without_repeats(empty).count() == suffix_dedup.repeated_bytes(empty).count() == 0
     renamed = docs(rows, "number", "body")
     assert suffix_dedup.without_repeats(renamed, "number", "body").columns == ["number", "body", *CLASHING]
+
+
+@pytest.mark.parametrize("hot", [1000, 3])
+def test_repeated_rows_and_ids_in_several_blocks(docs, monkeypatch, hot):
+    """Rows repeated in full, and rows of the same id and start but other text, each lose their own bytes."""
+    monkeypatch.setattr(suffix_dedup, "BLOCK_ROWS", 4)
+    monkeypatch.setattr(suffix_dedup, "HOT", hot)
+    rows = corpus(7)[:60]
+    rows += rows[:40] + [(i, t + " " + prose(random.Random(i), 12)) for i, t in rows[:40]]
+    assert result(suffix_dedup.repeated_bytes(docs(rows))) == brute_force(rows, 100)

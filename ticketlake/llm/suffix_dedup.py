@@ -172,7 +172,7 @@ def _spans(length: int, buckets: int):
         block = docs.column("block")[0].as_py()
         keys = list(zip(docs.column("doc_id").to_pylist(), docs.column("digest").to_pylist(), strict=True))
         texts = [b"" if k in copied else x for k, x in zip(keys, _bytes(docs.column("text")), strict=True)]
-        first_of: dict[tuple[bytes, int], tuple] = {}
+        first_of: dict[tuple[bytes, int], list[tuple]] = {}
         ranges: list[tuple] = []
         for data, ends, numbers, offsets in anchors.pieces(texts):
             first, n, anchor, gram = anchors.runs(data, ends)
@@ -185,12 +185,15 @@ def _spans(length: int, buckets: int):
             ):
                 span = data[s : s + count + length - 1], off
                 new = (*keys[number], where, count, h)
-                old = first_of.setdefault(span, new)
-                if old is not new:  # an equal run: the earlier one stands for both
-                    late = max(old, new, key=lambda x: (x[0], x[2]))
-                    if (old[0], old[2]) != (new[0], new[2]):
-                        first_of[span] = old if late is new else new
-                        ranges.append((late[0], late[1], late[2], late[3]))
+                old = first_of.setdefault(span, [new])
+                mine, first_at = (new[0], new[2]), (old[0][0], old[0][2])
+                if mine < first_at:  # of equal runs the earliest stands for all
+                    first_of[span] = [new]
+                    ranges += [late[:4] for late in old]
+                elif mine > first_at:
+                    ranges.append(new[:4])
+                elif all(new[1] != x[1] for x in old):  # rows of one id that differ elsewhere
+                    old.append(new)
         return _rows(_DEALT, _dealt_out(block, first_of, ranges, hot, length, buckets))
 
     return run
@@ -198,8 +201,8 @@ def _spans(length: int, buckets: int):
 
 def _dealt_out(block, first_of, ranges, hot, length, buckets) -> list[tuple]:
     """One row for each bucket that the block has something for."""
-    spans = np.array([(v[4], v[0], v[1], v[2], v[3], k[1]) for k, v in first_of.items()], _SPAN)
-    texts = [k[0] for k in first_of]
+    spans = np.array([(v[4], v[0], v[1], v[2], v[3], k[1]) for k, runs in first_of.items() for v in runs], _SPAN)
+    texts = [k[0] for k, runs in first_of.items() for _ in runs]
     often = np.isin(spans["hash"], hot)
     out: dict[int, dict[str, bytes]] = {}
     bucket = (_mix(spans["hash"]) >> np.uint64(8)) % np.uint64(buckets)
@@ -237,14 +240,15 @@ def _starts(spans: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.
 
 
 def _later(spans, data, starts, owner, inner, length) -> tuple[np.ndarray, np.ndarray]:
-    """Sort the strings; ranges of those that start earlier elsewhere, and the first string of each class."""
+    """Sort the strings; ranges of those that start earlier elsewhere, and the first strings of each class."""
     _, classes = deep_shallow(data, starts, length)
     doc, at = spans["doc"][owner], spans["at"][owner] + inner
     order = np.lexsort((at, doc, classes))
     new = np.concatenate([[True], np.diff(classes[order]) != 0])[: len(order)]
     first = order[new]
     winner = first[np.cumsum(new) - 1] if len(order) else order
-    late = np.sort(order[(doc[winner] != doc[order]) | (at[winner] != at[order])])
+    later = (doc[winner] != doc[order]) | (at[winner] != at[order])
+    late, first = np.sort(order[later]), np.sort(order[~later])
     cut = np.flatnonzero((owner[late[1:]] != owner[late[:-1]]) | (late[1:] != late[:-1] + 1)) + 1
     begin = late[np.concatenate([[0], cut])] if len(late) else late
     ranges = np.zeros(len(begin), _RANGE)
@@ -287,25 +291,30 @@ def _add(found, blocks, ranges) -> None:
 
 def _cold(spans, texts, blocks, length, found) -> None:
     first_of: dict[tuple[bytes, int], int] = {}
+    kept: dict[tuple[int, int], int] = {}
+    place: dict[tuple[int, int], set[int]] = {}  # rows repeated in full may lie in several blocks
     late = []
     for i in np.lexsort((spans["at"], spans["doc"])).tolist():
         j = first_of.setdefault((texts[i], int(spans["off"][i])), i)
         if (spans["doc"][i], spans["at"][i]) != (spans["doc"][j], spans["at"][j]):
             late.append(i)
+            continue
+        kept.setdefault((j, int(spans["digest"][i])), i)
+        place.setdefault((int(spans["doc"][i]), int(spans["digest"][i])), set()).add(int(blocks[i]))
     ranges = np.zeros(len(late), _RANGE)
     for name in ("doc", "digest", "at", "n"):
         ranges[name] = spans[name][late]
     _add(found, blocks[late], ranges)
-    kept = np.array(list(first_of.values()))
+    kept = np.array(list(kept.values()))
     _, at, count = np.unique(spans["hash"][kept], return_inverse=True, return_counts=True)
     kept = kept[count[at] > 1]  # a k-gram in one run only: nothing else can equal its strings
     if not len(kept):
         return
     starts, owner, inner = _starts(spans[kept], length)
     ranges, _ = _later(spans[kept], b"".join([texts[i] for i in kept]), starts, owner, inner, length)
-    place = {(int(spans["doc"][i]), int(spans["digest"][i])): int(blocks[i]) for i in kept}
-    where = np.array([place[k] for k in zip(ranges["doc"].tolist(), ranges["digest"].tolist(), strict=True)], np.int64)
-    _add(found, where, ranges)
+    where = [sorted(place[k]) for k in zip(ranges["doc"].tolist(), ranges["digest"].tolist(), strict=True)]
+    times = np.array([len(x) for x in where], np.int64)
+    _add(found, np.array([b for x in where for b in x], np.int64), np.repeat(ranges, times))
 
 
 def _single(windows, blocks, found) -> None:
