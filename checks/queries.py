@@ -10,7 +10,6 @@ from datetime import date, datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from checks.pages import write_pages
 from ticketlake.config import MART_NAMES, RAW_COLUMNS, LakeConfig, fresh_dir
 from ticketlake.functions.casts import ntz
 from ticketlake.functions.numeric import seconds_between
@@ -24,7 +23,6 @@ from ticketlake.plans.run import frame_fetcher, rebuild_marts, run
 from ticketlake.sources import bronze
 from ticketlake.sources.bronze import STORED_ROW_ID
 from ticketlake.sources.files import read_csv, read_jsonl, write_jsonl
-from ticketlake.sources.paged import paged_fetcher, read_paged
 from ticketlake.sources.tables import ORDER_LAKE, raw_only, raw_requests
 from ticketlake.streaming.landing import epoch_time, ingest_new_files
 
@@ -279,19 +277,26 @@ def gold_row_counts(spark, sf_dir):
 # ---------------------------------------------------------------- sources and bronze
 
 
+def _window_pages(spark, sf_dir, since=SINCE, until=UNTIL, limit=None):
+    """The window's rows by number, as a paged service hands them out; the first `limit` of them."""
+    numbered = extract.numbered(extract.in_window(raw_requests(spark, sf_dir), since, until), ROW_ID)
+    return numbered if limit is None else numbered.filter(F.col("position") < limit)
+
+
 def src_paged_window(spark, sf_dir):
-    """The whole window through the paged source; its bounds are given as filters."""
-    pages = write_pages(raw_requests(spark, sf_dir), SINCE, UNTIL, CFG.page_size, ROW_ID)
-    created = F.col("created_date")
-    return read_paged(spark, pages, CFG).filter((created > SINCE) & (created <= UNTIL))
+    """The whole window from its numbered rows."""
+    return _window_pages(spark, sf_dir).filter(F.col("position") >= 0).select(*RAW_COLUMNS)
 
 
 def paged_run(spark, sf_dir):
-    """A lake run whose source is the paged service, read to its end without a limit."""
+    """A lake run whose source hands out numbered rows of a window, read to its end without a limit."""
     lake, until = new_lake(spark), datetime.fromisoformat(UNTIL)
-    pages = write_pages(raw_requests(spark, sf_dir), SINCE, UNTIL, CFG.page_size, ROW_ID)
+
+    def fetch(spark, since, until, limit):
+        return _window_pages(spark, sf_dir, since, until, limit).select(*RAW_COLUMNS)
+
     since = datetime.fromisoformat(SINCE)
-    run(lake, paged_fetcher(pages, CFG), source="pages", since=since, until=until, run_id="only", ingested_at=DAY_1, cfg=CFG)
+    run(lake, fetch, source="pages", since=since, until=until, run_id="only", ingested_at=DAY_1, cfg=CFG)
     return lake.silver()
 
 
@@ -534,17 +539,13 @@ def lake_report(spark, sf_dir):
 
 
 def gold_order(spark, sf_dir):
-    """Each mart's rows numbered in display order by where they stand in the sorted result."""
+    """Each mart's rows numbered in display order."""
     lake = new_lake(spark)
     run_lake(lake, raw_requests(spark, sf_dir), "only", DAY_1)
     placed = None
     for name, keys in marts.MART_ORDER.items():
-        path = fresh_dir(spark, name)
-        marts.in_order(lake.mart(name), name).coalesce(1).write.parquet(path)
-        rows = spark.read.parquet(path).select(
-            F.lit(name).alias("mart"),
-            F.col("_metadata.row_index").alias("position"),
-            *[F.col(k).cast("string").alias(f"key_{i}") for i, k in enumerate(keys)],
+        rows = marts.numbered(lake.mart(name), name).select(
+            F.lit(name).alias("mart"), "position", *[F.col(k).cast("string").alias(f"key_{i}") for i, k in enumerate(keys)]
         )
         placed = rows if placed is None else placed.unionByName(rows)
     return placed

@@ -38,6 +38,15 @@ def spark(tmp_path_factory):
     session.stop()
 
 
+@pytest.fixture
+def plain_session(spark):
+    """A session with Spark's own defaults where SESSION_SETTINGS say otherwise."""
+    session = spark.newSession()
+    for key in SESSION_SETTINGS:
+        session.conf.unset(key)
+    return session
+
+
 PLAIN = {
     "created_date": "2024-03-11T08:30:00.000",
     "agency": "PARKS",

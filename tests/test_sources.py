@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import T0, rows_of, ticket
-from checks.pages import write_pages
+from tests.pages import write_pages
 from ticketlake.config import RAW_COLUMNS, LakeConfig, fresh_dir, shared_root
 from ticketlake.operators import extract
 from ticketlake.operators.fingerprint import fingerprint
@@ -215,6 +215,16 @@ def test_a_limit_takes_the_oldest_of_the_window(spark):
             paged.read_paged(spark, service(rows), cfg, limit=limit)
 
 
+@pytest.mark.parametrize("limit", [None, 8])
+def test_sessions_with_and_without_pushdown_read_the_same_rows(spark, plain_session, tmp_path, limit):
+    rows, created, got = as_dicts(hourly(30)), F.col("created_date"), []
+    for session, setting in ((spark, "true"), (plain_session, "false")):
+        assert session.conf.get(paged.PUSHDOWN, "false") == setting
+        table = paged.read_paged(session, service(rows), LakeConfig(page_size=4), at(60), at(60 * 20), limit)
+        got.append((keys(table), keys(table.filter((created > at(60 * 4)) & (created <= at(60 * 9))))))
+    assert got[0] == got[1] == ((list(range(2, 21)) if limit is None else list(range(2, 10))), list(range(5, 10)))
+
+
 def test_bounds_in_a_filter_travel_to_the_service(spark, tmp_path):
     notes, rows = tmp_path / "asked", as_dicts(hourly(30))
     created = F.col("created_date")

@@ -7,8 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ticketlake.config import RAW_COLUMNS, LakeConfig, fresh_dir
+from ticketlake.config import RAW_COLUMNS, LakeConfig
 from ticketlake.functions.casts import ntz, to_timestamp
+from ticketlake.operators.positions import with_positions
 
 # Creation time, key (a missing key sorts as empty text), update time; the remaining columns only
 # order rows that are equal in these, which makes a cut reproducible.
@@ -47,22 +48,10 @@ def first_n(raw: DataFrame, n: int) -> DataFrame:
 def numbered(raw: DataFrame, row_id: Sequence[str] = ()) -> DataFrame:
     """Raw rows with their `position` in the source order, counted from 0.
 
-    The sorted rows are stored, and a row's position is its index in its file plus the rows of the files
-    before: no task sees more than its range, however deep a page lies. One row per file is added up.
     `row_id` columns tell equal rows apart, so that many copies of a row spread over several files.
     """
-    path = fresh_dir(raw.sparkSession, "numbered")
-    raw.orderBy(*source_order(), *row_id).select(*RAW_COLUMNS).write.parquet(path)
-    rows = raw.sparkSession.read.parquet(path).select(
-        "*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_index")
-    )
-    sizes, before, starts = rows.groupBy("_file").count().orderBy("_file").collect(), 0, []
-    for file, size in sizes:
-        starts.append((file, before))
-        before += size
-    starts = F.broadcast(raw.sparkSession.createDataFrame(starts, "_file string, _start bigint"))
-    position = (F.col("_start") + F.col("_index")).alias("position")
-    return rows.join(starts, "_file").select(*RAW_COLUMNS, position)
+    rows = raw.select(*RAW_COLUMNS, *row_id)
+    return with_positions(rows, [*source_order(), *map(F.col, row_id)], "numbered").select(*RAW_COLUMNS, "position")
 
 
 def page(raw: DataFrame, offset: int, size: int) -> DataFrame:

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ticketlake.config import MART_SCHEMAS, LakeConfig
 from ticketlake.functions.numeric import hours_between, month_start, ratio, round_half_away
+from ticketlake.operators.positions import with_positions
 from ticketlake.operators.quantiles import grouped_summary
 
 
@@ -114,5 +115,14 @@ def build_marts(silver: DataFrame, cfg: LakeConfig) -> dict[str, DataFrame]:
     return {n: plans[n]().select(*MART_SCHEMAS[n].fieldNames()) for n in MART_SCHEMAS}
 
 
+def _display_order(name: str) -> list[Column]:
+    return [F.col(c).asc_nulls_last() for c in MART_ORDER[name]]
+
+
 def in_order(mart: DataFrame, name: str) -> DataFrame:
-    return mart.orderBy(*[F.col(c).asc_nulls_last() for c in MART_ORDER[name]])
+    return mart.orderBy(*_display_order(name))
+
+
+def numbered(mart: DataFrame, name: str) -> DataFrame:
+    """The mart's rows with their `position` in the display order, from 0; sorted by ranges, never in one task."""
+    return with_positions(mart, _display_order(name), f"{name}-order")

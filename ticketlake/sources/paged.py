@@ -10,10 +10,12 @@ from __future__ import annotations
 import base64
 import sys
 import time
+import uuid
 from collections.abc import Callable, Iterable, Iterator, Sequence
 
 import pyarrow as pa
 from pyspark import cloudpickle
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, Filter, GreaterThan, InputPartition, LessThanOrEqual
 
@@ -21,6 +23,7 @@ from ticketlake.config import RAW_COLUMNS, LakeConfig
 from ticketlake.plans.run import Fetcher
 
 FORMAT = "paged_requests"
+PUSHDOWN = "spark.sql.python.filterPushdown.enabled"
 # The responses that are worth another try.
 RETRY_STATUS = (429, 500, 502, 503, 504)
 # Seconds to wait before each further try of a page.
@@ -80,6 +83,9 @@ class Turns(InputPartition):
 
 
 class PagedReader(DataSourceReader):
+    """Reads the window that the options give. Spark refuses a reader that takes filters in sessions that don't push
+    them, so this one takes none."""
+
     def __init__(self, options: dict):
         self.read_page = cloudpickle.loads(base64.b64decode(options["reader"]))
         self.since, self.until = options.get("since"), options.get("until")
@@ -87,20 +93,6 @@ class PagedReader(DataSourceReader):
         self.page_size, self.streams = int(options["pagesize"]), int(options["streams"])
         self.delays = [float(x) for x in options["delays"].split(",") if x]
 
-    def pushFilters(self, filters: list[Filter]) -> Iterator[Filter]:
-        """Bounds on the creation text narrow the window that the service is asked for.
-
-        Only without a limit: the rows of a limit are those of the window it was given with.
-        """
-        for f in filters:
-            on_time = self.limit is None and getattr(f, "attribute", None) == ("created_date",)
-            if on_time and isinstance(f, GreaterThan):
-                self.since = max(self.since or "", f.value)
-            elif on_time and isinstance(f, LessThanOrEqual):
-                self.until = f.value if self.until is None else min(self.until, f.value)
-            else:
-                yield f
-
     def partitions(self) -> list[Turns]:
         """Tasks that take turns over the pages. The number of pages need not be known: each goes on to its
         first short page, so at most one request a task lies past the window."""
@@ -127,6 +119,21 @@ class PagedReader(DataSourceReader):
             page += turns.step
 
 
+class NarrowingReader(PagedReader):
+    """For sessions that push filters down: bounds on the creation text narrow the window."""
+
+    def pushFilters(self, filters: list[Filter]) -> Iterator[Filter]:
+        """Only without a limit: the rows of a limit are those of the window it was given with."""
+        for f in filters:
+            on_time = self.limit is None and getattr(f, "attribute", None) == ("created_date",)
+            if on_time and isinstance(f, GreaterThan):
+                self.since = max(self.since or "", f.value)
+            elif on_time and isinstance(f, LessThanOrEqual):
+                self.until = f.value if self.until is None else min(self.until, f.value)
+            else:
+                yield f
+
+
 class PagedRequests(DataSource):
     @classmethod
     def name(cls) -> str:
@@ -136,7 +143,21 @@ class PagedRequests(DataSource):
         return ", ".join(f"{c} string" for c in RAW_COLUMNS)
 
     def reader(self, schema) -> PagedReader:
-        return PagedReader(self.options)
+        narrowing = self.options["narrowing"] == "true"
+        return NarrowingReader(self.options) if narrowing else PagedReader(self.options)
+
+
+def _registered(spark: SparkSession) -> str:
+    """The source's name in this session; another one where another session of the process holds the usual one."""
+    try:
+        spark.dataSource.register(PagedRequests)
+        return FORMAT
+    except AnalysisException as taken:
+        if taken.getCondition() != "DATA_SOURCE_ALREADY_EXISTS":
+            raise
+    name = f"{FORMAT}_{uuid.uuid4().hex}"
+    spark.dataSource.register(type("PagedRequests", (PagedRequests,), {"name": classmethod(lambda cls: name)}))
+    return name
 
 
 def read_paged(
@@ -148,18 +169,21 @@ def read_paged(
     limit: int | None = None,
     streams: int = STREAMS,
     delays: Sequence[float] = RETRY_DELAYS,
+    narrowing: bool | None = None,
 ) -> DataFrame:
     """Records created after `since` and up to `until`, page by page; the oldest `limit` of them if given.
 
     The window travels to the service, so only matching records are transferred. Without a limit a filter
-    `created_date > ...` or `<= ...` on the result travels there, too (in sessions with
-    `spark.sql.python.filterPushdown.enabled`, as SESSION_SETTINGS has it).
+    `created_date > ...` or `<= ...` on the result travels there, too, if `narrowing`: by default where the session
+    has `spark.sql.python.filterPushdown.enabled`, which must then stay on until the table is read.
     """
     cfg.check_limit(limit)
+    if narrowing is None:
+        narrowing = spark.conf.get(PUSHDOWN, "false") == "true"
     # classes and page readers travel by value: executors need no copy of this package
     cloudpickle.register_pickle_by_value(sys.modules["ticketlake"])
     try:
-        spark.dataSource.register(PagedRequests)
+        name = _registered(spark)
         options = {
             "reader": base64.b64encode(cloudpickle.dumps(read_page)).decode(),
             "since": None if since is None else _text(since),
@@ -168,9 +192,10 @@ def read_paged(
             "pageSize": cfg.page_size,
             "streams": streams,
             "delays": ",".join(map(str, delays)),
+            "narrowing": str(narrowing).lower(),
         }
         given = {k: str(v) for k, v in options.items() if v is not None}
-        return spark.read.format(FORMAT).options(**given).load()
+        return spark.read.format(name).options(**given).load()
     finally:
         cloudpickle.unregister_pickle_by_value(sys.modules["ticketlake"])
 
