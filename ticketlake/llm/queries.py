@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ticketlake.llm import bpe, exact, language, lines, packing, quality, sharding, simhash, suffix_dedup, vector_graph
+from ticketlake.llm import bpe, exact, hnsw, language, lines, packing, quality, sharding, simhash, suffix_dedup, vector_graph
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -136,6 +136,15 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "n_lines", "n_dropped", _sha256("text").alias("kept_sha256"))
 
 
+# Every row whose id is divisible by this is a query.
+ASK_EVERY, NEAREST = 20, 20
+
+
+def op13_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet").select("vec_id", "embedding")
+    return hnsw.nearest(vectors, vectors.where(F.col("vec_id") % ASK_EVERY == 0), NEAREST)
+
+
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": op1_sharding,
     "op2_embedding_dedup": op2_embedding_dedup,
@@ -147,4 +156,5 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_exact_dedup": op8_exact_dedup,
     "op9_bpe": op9_bpe,
     "op10_line_dedup": op10_line_dedup,
+    "op13_nearest": op13_nearest,
 }
