@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ticketlake.llm import bpe, exact, hnsw, language, lines, packing, quality, sharding, simhash, suffix_dedup, vector_graph
+from ticketlake.llm import (
+    alignment,
+    bpe,
+    conversations,
+    exact,
+    hnsw,
+    language,
+    lines,
+    packing,
+    quality,
+    sharding,
+    simhash,
+    suffix_dedup,
+    vector_graph,
+)
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -136,6 +150,24 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "n_lines", "n_dropped", _sha256("text").alias("kept_sha256"))
 
 
+PIECES = "piece_bpe_32k.model"
+
+
+def op11_alignment(spark: SparkSession, sf_dir: str, a_path: str | None = None, b_path: str | None = None) -> DataFrame:
+    """a_path, b_path: the tokenizer files; by default TOKENIZER and PIECES of the installed public ones."""
+    if a_path is None or b_path is None:
+        import public_tokenizers
+
+        a_path, b_path = a_path or public_tokenizers.path(TOKENIZER), b_path or public_tokenizers.path(PIECES)
+    shared = alignment.vocabularies(spark, a_path, b_path)
+    return alignment.align(_documents(spark, sf_dir).select("doc_id", "text"), shared)
+
+
+def op12_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = spark.read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "turn", "role", "text")
+    return conversations.repair(conversations.damaged(rows))
+
+
 # Every row whose id is divisible by this is a query.
 ASK_EVERY, NEAREST = 20, 20
 
@@ -156,5 +188,7 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_exact_dedup": op8_exact_dedup,
     "op9_bpe": op9_bpe,
     "op10_line_dedup": op10_line_dedup,
+    "op11_alignment": op11_alignment,
+    "op12_repair": op12_repair,
     "op13_nearest": op13_nearest,
 }
