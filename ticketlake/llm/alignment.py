@@ -3,22 +3,22 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass, replace
+from dataclasses import dataclass
 from hashlib import sha256
 
 import numpy as np
 import pyarrow as pa
-import regex
 import sentencepiece
+import tiktoken
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ticketlake.llm import bpe
 from ticketlake.llm.common import arrow_batches, stored
 
-# Characters that are aligned at once, nonzeros that a product expands at once, words a task remembers, distinct
-# id pairs a task adds up before it passes them on, and the most frequent id pairs that tasks hold.
-BLOCK, EXPANDED, HELD_WORDS, ADDED, HELD = 4 << 20, 4 << 20, 300_000, 1 << 21, 1 << 19
+# Characters that are aligned at once, nonzeros that a product expands at once, distinct id pairs a task adds up
+# before it passes them on, and the most frequent id pairs that tasks hold.
+BLOCK, EXPANDED, ADDED, HELD = 1 << 20, 1 << 20, 1 << 21, 1 << 19
 MARK = "▁"
 
 
@@ -36,42 +36,52 @@ class Rows:
 
     @classmethod
     def runs(cls, ends: np.ndarray) -> Rows:
-        """Row i has ones in the columns from the end of row i - 1 up to its own: tokens, or groups, over bytes."""
+        """Row i has ones in the columns from the end of row i - 1 up to its own: tokens over bytes, groups over
+        tokens."""
         width = int(ends[-1]) if len(ends) else 0
         start = np.concatenate([np.zeros(1, np.int64), ends])
         return cls(start, np.arange(width, dtype=np.int32), np.ones(width, np.int32), width)
 
     def transposed(self) -> Rows:
-        order = np.argsort(self.column, kind="stable")
         row = np.repeat(np.arange(len(self), dtype=np.int32), np.diff(self.start))
-        start = np.concatenate([np.zeros(1, np.int64), np.cumsum(np.bincount(self.column, minlength=self.width))])
-        return Rows(start, row[order], self.value[order], len(self))
+        value, start = self.value, np.zeros(self.width + 1, np.int64)
+        np.cumsum(np.bincount(self.column, minlength=self.width), out=start[1:])
+        if (self.column[1:] < self.column[:-1]).any():
+            order = np.argsort(self.column, kind="stable")
+            row, value = row[order], value[order]
+        return Rows(start, row, value, len(self))
 
     def times(self, other: Rows) -> Rows:
         """Gustavson's product: row i is the sum of the rows of `other` that row i of this one names, each times the
         value that names it. Rows are taken in blocks of at most EXPANDED summands, or one by one."""
-        reach = np.concatenate([np.zeros(1, np.int64), np.cumsum(np.diff(other.start)[self.column])])
-        weight = reach[self.start]
-        at, counts, columns, values = 0, [], [], []
+        sizes_of, width = np.diff(other.start), np.int64(max(other.width, 1))
+        single = bool((sizes_of == 1).all())  # rows of one entry need no spreading
+        weight = self.start if single else np.concatenate([np.zeros(1, np.int64), np.cumsum(sizes_of[self.column])])[self.start]
+        at, counts, columns, values = 0, [np.zeros(0, np.int64)], [np.zeros(0, np.int32)], [np.zeros(0, np.int32)]
         while at < len(self):
             to = max(at + 1, int(np.searchsorted(weight, weight[at] + EXPANDED, "right")) - 1)
             part = slice(self.start[at], self.start[to])
-            named, factor = self.column[part], self.value[part]
-            sizes = np.diff(other.start)[named]
-            place = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes - other.start[named], sizes)
-            row = np.repeat(np.repeat(np.arange(to - at), np.diff(self.start[at : to + 1])), sizes)
-            code = row * np.int64(max(other.width, 1)) + other.column[place]
-            value = np.repeat(factor, sizes) * other.value[place]
-            if len(code) > 1 and (np.diff(code) < 0).any():
+            named, value = self.column[part], self.value[part]
+            code = np.repeat(np.arange(to - at) * width, np.diff(self.start[at : to + 1]))
+            if single:
+                place = named
+            else:
+                sizes = sizes_of[named]
+                place = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes - other.start[named], sizes)
+                code, value = np.repeat(code, sizes), np.repeat(value, sizes)
+            code = code + other.column[place]
+            value = value * other.value[place]
+            step = np.diff(code)
+            if (step < 0).any():
                 order = np.argsort(code, kind="stable")
                 code, value = code[order], value[order]
-            new = np.flatnonzero(np.concatenate([np.ones(min(len(code), 1), bool), np.diff(code) > 0]))
-            columns.append((code[new] % max(other.width, 1)).astype(np.int32))
-            values.append(np.add.reduceat(value, new) if len(new) else value[:0])
-            counts.append(np.bincount(code[new] // max(other.width, 1), minlength=to - at))
+                step = np.diff(code)
+            new = np.concatenate([np.zeros(min(len(code), 1), np.int64), np.flatnonzero(step) + 1])
+            row, column = np.divmod(code[new], width)
+            columns.append(column.astype(np.int32))
+            values.append(np.add.reduceat(value, new) if len(new) else value)
+            counts.append(np.bincount(row, minlength=to - at))
             at = to
-        if not counts:
-            return Rows(np.zeros(1, np.int64), np.zeros(0, np.int32), np.zeros(0, np.int32), other.width)
         start = np.concatenate([np.zeros(1, np.int64), np.cumsum(np.concatenate(counts))])
         return Rows(start, np.concatenate(columns), np.concatenate(values), other.width)
 
@@ -79,7 +89,7 @@ class Rows:
 @dataclass
 class Alignment:
     """Tokens of a run of bytes: `links` has a row an A token and a column a B token (the value: bytes shared);
-    `a_of` and `b_of` have a row a group and a column a token. Tokens of a group are linked through it."""
+    `a_of` and `b_of` have a row a group and a column a token."""
 
     links: Rows
     a_of: Rows
@@ -87,10 +97,10 @@ class Alignment:
 
     @classmethod
     def of(cls, a_ends: np.ndarray, b_ends: np.ndarray) -> Alignment:
-        a, b = Rows.runs(a_ends), Rows.runs(b_ends)
-        group = Rows.runs(np.intersect1d(a_ends, b_ends, assume_unique=True))
-        a_bytes, b_bytes = a.transposed(), b.transposed()
-        return cls(a.times(b_bytes), group.times(a_bytes), group.times(b_bytes))
+        links = Rows.runs(a_ends).times(Rows.runs(b_ends).transposed())
+        ends = np.intersect1d(a_ends, b_ends, assume_unique=True)
+        a_of, b_of = (Rows.runs(np.searchsorted(x, ends) + 1) for x in (a_ends, b_ends))
+        return cls(links, a_of, b_of)
 
     def shared_group_links(self) -> Rows:
         """All pairs of an A and a B token that share a group."""
@@ -102,78 +112,49 @@ class Alignment:
 
 @dataclass
 class Vocabularies:
-    """What is broadcast: the tables of tokenizer A, the file of B, and the bytes of every token of both."""
+    """What is broadcast: ids and bytes of tokenizer A, the file of B and the bytes of its tokens."""
 
-    a: bpe.Tables
-    b_model: bytes
+    a_ids: list[int]
     a_bytes: list[bytes]
+    b_model: bytes
     b_bytes: list[bytes]
 
     @classmethod
     def load(cls, a_path: str, b_path: str) -> Vocabularies:
-        tables = replace(bpe.Tables.load(a_path), special={})  # strings of special tokens are plain text
+        """A must number its tokens in the order of their merges, as then ids are ranks. Strings of special tokens are
+        plain text."""
+        tables = bpe.Tables.load(a_path)
+        merged = tables.merged.tolist()
+        if merged != sorted(set(merged)) or merged[0] <= tables.first.max():
+            raise ValueError(f"the ids of {a_path} don't follow its merges")
         with open(b_path, "rb") as file:
             model = file.read()
         pieces = sentencepiece.SentencePieceProcessor(model_proto=model)
         names = [pieces.id_to_piece(i) for i in range(pieces.get_piece_size())]
-        if any(MARK in name.lstrip(MARK) for name in names):
-            raise ValueError("a piece goes on behind a space: words can't be encoded one by one")
         as_bytes = [
             bytes([int(name[3:5], 16)]) if pieces.is_byte(i) else name.replace(MARK, " ").encode()
             for i, name in enumerate(names)
         ]
-        return cls(tables, model, tables.pieces, as_bytes)
-
-
-class Words:
-    """Encodes texts word by word; the ids of a word are found once and remembered. None: the ids' bytes differ."""
-
-    def __init__(self, split, encode, token_bytes: list[bytes]):
-        self.split, self.encode, self.token_bytes, self.known = split, encode, token_bytes, {}
-
-    def ids(self, texts: list[str]) -> list[bytes | None]:
-        """Little-endian unsigned 32-bit ids of each text."""
-        if len(self.known) > HELD_WORDS:
-            self.known = {}
-        known, split = self.known, [self.split(t) for t in texts]
-        new = list(set().union(*split).difference(known))
-        for word, ids in zip(new, self.encode(new), strict=True) if new else ():
-            same = b"".join([self.token_bytes[i] for i in ids]) == word.encode()
-            known[word] = np.array(ids, "<u4").tobytes() if same else None
-        out = []
-        for words in split:
-            ids = [known[w] for w in words]
-            out.append(None if None in ids else b"".join(ids))
-        return out
+        return cls([*tables.first.tolist(), *merged], tables.pieces, model, as_bytes)
 
 
 class Encoders:
     """Both tokenizers of one task; texts come with their leading space."""
 
     def __init__(self, vocabularies: Vocabularies):
-        pieces = sentencepiece.SentencePieceProcessor(model_proto=vocabularies.b_model)
-        blank = pieces.piece_to_id(MARK)
-
-        def b_ids(words: list[str]) -> list[list[int]]:
-            """The model puts a space in front of what it is given, but for the empty text."""
-            return [ids if len(w) > 1 else [blank] for w, ids in zip(words, pieces.encode([w[1:] for w in words], num_threads=1))]
-
-        def a_ids(words: list[str]) -> list[list[int]]:
-            return [x.tolist() for x in bpe.PairIndex(vocabularies.a, [w.encode() for w in words]).merge()]
-
-        self.a = Words(regex.compile(bpe.PATTERN).findall, a_ids, vocabularies.a_bytes)
-        # a word of B: spaces and what follows up to the next space; no piece has a space behind another character
-        self.b = Words(regex.compile(" +[^ ]*").findall, b_ids, vocabularies.b_bytes)
+        a = vocabularies.a_bytes
+        ranks = {a[i]: i for i in vocabularies.a_ids}
+        self.a = tiktoken.Encoding("a", pat_str=bpe.PATTERN, mergeable_ranks=ranks, special_tokens={})
+        self.b = sentencepiece.SentencePieceProcessor(model_proto=vocabularies.b_model)
+        self.a_bytes, self.b_bytes = a.__getitem__, vocabularies.b_bytes.__getitem__
 
-    def ids(self, texts: list[str]) -> tuple[list[bytes], list[bytes]]:
-        """Ids of texts; empty for both where a text is empty or the bytes of either differ from the text's."""
-        given = [i for i, t in enumerate(texts) if t and MARK not in t]
-        a, b = [b""] * len(texts), [b""] * len(texts)
-        words = [" " + texts[i] for i in given]
-        for i, x, y in zip(given, self.a.ids(words), self.b.ids(words), strict=True):
-            if x is not None and y is not None:
-                a[i], b[i] = x, y
-        return a, b
+    def ids(self, text: str) -> tuple[bytes, bytes]:
+        """Little-endian unsigned 32-bit ids; none where the text is empty or the bytes of either differ from it."""
+        if text and MARK not in text:
+            a, b, whole = self.a.encode_ordinary(" " + text), self.b.encode(text), f" {text}".encode()
+            if b"".join(map(self.a_bytes, a)) == whole == b"".join(map(self.b_bytes, b)):
+                return np.array(a, "<u4").tobytes(), np.array(b, "<u4").tobytes()
+        return b"", b""
 
 
 # ---------------------------------------------------------------- documents
@@ -260,7 +241,8 @@ def _aligned(shared):
         for batch in batches:
             texts = [t or "" for t in batch.column("text").to_pylist()]
             for part in _blocks(texts):
-                block = Aligned(*encoders.ids(texts[part]), a_sizes, b_sizes, len(b_sizes))
+                ids = zip(*map(encoders.ids, texts[part]), strict=True)
+                block = Aligned(*ids, a_sizes, b_sizes, len(b_sizes))
                 digests = [sha256(t).hexdigest() if t else "" for t in block.texts]
                 codes, times = zip(*block.pairs(), strict=True)
                 arrays = [batch.column("doc_id")[part.start : part.stop]]
