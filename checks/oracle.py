@@ -525,6 +525,9 @@ REINGESTED = f"""reingested AS (
 PUBLISHED = (ONE_RUN, staged("one_run"), judged(), marts("staged_silver"))
 
 
+FEW = "(coalesce(try_cast(unique_key AS BIGINT) % 25600 < 256, false) AND line > 3)"
+
+
 def placed(mart: str) -> str:
     keys = MART_ORDER[mart]
     order = ", ".join(f"{k} NULLS LAST" for k in keys)
@@ -547,4 +550,11 @@ ORACLE |= {
     ),
     "lake_report": sql("SELECT * EXCLUDE (bronze_batches) FROM stats", *PUBLISHED, STATS),
     "gold_order": sql(" UNION ALL ".join(placed(m) for m in MARTS), *PUBLISHED),
+    "merge_few_new": sql("FROM staged_silver", pulled("few_new", (f"NOT {FEW}", DAY_1), (FEW, DAY_2)), staged("few_new"), judged()),
+    "bronze_manifest": sql(
+        f"""SELECT if(line <= 3, DATE '2024-02-01', DATE '2024-02-02') AS ingest_date,
+        if(line <= 3, TIMESTAMP '{DAY_1}', TIMESTAMP '2024-02-02 05:00:00') AS _ingested_at, count(*) AS rows,
+        min(try_cast(unique_key AS BIGINT)) AS low_key, max(try_cast(unique_key AS BIGINT)) AS high_key
+        FROM raw GROUP BY ALL"""
+    ),
 }

@@ -379,6 +379,14 @@ def bronze_scan(spark, sf_dir):
     )
 
 
+def bronze_manifest(spark, sf_dir):
+    """What the manifest says of two deliveries, the second of which came twice."""
+    root, (early, late) = fresh_dir(spark, "bronze"), early_and_late(spark, sf_dir)
+    for rows, at in ((early, DAY_1), (late, DAY_2), (late, DAY_2.replace(hour=5))):
+        _ingest(rows, root, at)
+    return bronze.listed(spark, root).drop("_batch_id")
+
+
 def stream_available_now(spark, sf_dir):
     """Two deliveries of files, each picked up once; a start without new files does nothing."""
     drops, root, memory = (fresh_dir(spark, n) for n in ("drops", "bronze", "stream"))
@@ -421,6 +429,16 @@ def incremental_two_runs(spark, sf_dir):
     return lake.silver()
 
 
+def merge_few_new(spark, sf_dir):
+    """Late versions of one key in a hundred, neighbours, are folded into staging of 64 buckets."""
+    lake, raw = new_lake(spark), raw_requests(spark, sf_dir)
+    few = F.coalesce(F.expr("try_cast(unique_key AS bigint)") % 25_600 < 256, F.lit(False)) & (F.col("line") > 3)
+    cfg = replace(CFG, buckets=64, lookback_days=20_000)
+    run_lake(lake, raw.filter(~few), "first", DAY_1, cfg)
+    run_lake(lake, raw.filter(few), "second", DAY_2, cfg, merge=True)
+    return lake.silver()
+
+
 def run_log(spark, sf_dir):
     lake, raw = new_lake(spark), raw_requests(spark, sf_dir)
     run_lake(lake, raw, "first", DAY_1, until=datetime(1998, 1, 1))
@@ -682,10 +700,12 @@ QUERIES: dict[str, Query] = {
     "bronze_reingest_idempotent": bronze_reingest_idempotent,
     "landing_resume": landing_resume,
     "bronze_scan": bronze_scan,
+    "bronze_manifest": bronze_manifest,
     "stream_replay": stream_replay,
     "stream_available_now": stream_available_now,
     "run_state_roundtrip": run_state_roundtrip,
     "incremental_two_runs": incremental_two_runs,
+    "merge_few_new": merge_few_new,
     "run_log": run_log,
     "late_update_lookback": late_update_lookback,
     "rerun_idempotent": rerun_idempotent,

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import gzip
 import json
 import random
 from datetime import date, datetime, timedelta
@@ -13,7 +14,7 @@ from tests.pages import write_pages
 from ticketlake.config import RAW_COLUMNS, LakeConfig, fresh_dir, shared_root
 from ticketlake.operators import extract
 from ticketlake.operators.fingerprint import fingerprint
-from ticketlake.sources import bronze, paged
+from ticketlake.sources import bronze, files, paged
 from ticketlake.sources.files import read_csv, read_jsonl, write_jsonl
 from ticketlake.streaming.landing import epoch_time, ingest_new_files
 
@@ -59,6 +60,31 @@ def test_files_with_other_headers_are_read_by_name(spark, tmp_path):
     assert got == [("1", "HPD", "2024-03-02T00:00:00.000", None), ("2", "DOT", "2024-03-03T00:00:00.000", None)]
 
 
+@pytest.mark.parametrize("opening", ["4194304", "1"])
+def test_headers_are_found_by_tasks_also_of_odd_names_and_blocks(spark, tmp_path, opening):
+    """Files of several blocks, compressed ones, a byte order mark, names with signs that paths give a meaning."""
+    header = "unique_key,agency,created_date\n"
+    (tmp_path / "a [1]{x}.csv").write_text("\ufeff" + header + "".join(f"{i},A,2024-03-02T00:00:00.000\n" for i in range(400)))
+    (tmp_path / "b%20c.csv").write_text("agency,unique_key,created_date\r\nB,1000,2024-03-02T00:00:00.000\r\n")
+    with gzip.open(tmp_path / "d.csv.gz", "wt") as file:
+        file.write(header + "2000,D,2024-03-02T00:00:00.000\n")
+    (tmp_path / "e.csv").write_text("")
+    sizes = {"spark.sql.files.maxPartitionBytes": "2048", "spark.sql.files.openCostInBytes": opening}
+    before = {k: spark.conf.get(k) for k in sizes}
+    for key, value in sizes.items():
+        spark.conf.set(key, value)
+    try:
+        assert files.header_lines(spark, str(tmp_path)).count() == 3
+        got = read_csv(spark, str(tmp_path)).groupBy("agency").agg(F.count(F.lit(1)), F.max(F.col("unique_key").cast("int")))
+        assert sorted(map(tuple, got.collect())) == [("A", 400, 399), ("B", 1, 1000), ("D", 1, 2000)]
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    (tmp_path / "f.csv").write_text("unique_key,unique_key\n1,2\n")
+    with pytest.raises(ValueError, match="twice"):
+        read_csv(spark, str(tmp_path))
+
+
 @pytest.mark.parametrize("line", ["1,2,3", "1"])
 def test_a_line_that_does_not_fit_its_header_fails(spark, tmp_path, line):
     file = tmp_path / "in.csv"

@@ -72,6 +72,20 @@ STAGED_SCHEMA = T.StructType(
     ]
 )
 
+# The buckets of one run's staging: the run that wrote each, and what the gate counted in it. `judged_by` tells rules
+# and standardisation apart.
+BUCKET_SCHEMA = T.StructType(
+    [
+        T.StructField("bucket", T.IntegerType()),
+        T.StructField("version", T.StringType()),
+        T.StructField("total", T.LongType()),
+        T.StructField("failed", T.LongType()),
+        T.StructField("rules", T.MapType(T.StringType(), T.LongType())),
+        T.StructField("buckets", T.IntegerType()),
+        T.StructField("judged_by", T.StringType()),
+    ]
+)
+
 MART_SCHEMAS = {
     "response_time_by_borough_month": T.StructType(
         [
@@ -133,6 +147,8 @@ class LakeConfig:
     lookback_days: int = 0
     max_rows: int = 50_000
     page_size: int = 10_000
+    # staging is stored in that many buckets of keys; a merge rewrites those that new rows fall into
+    buckets: int = 16
 
     def __post_init__(self) -> None:
         if not 0 <= self.threshold <= 1:
@@ -141,8 +157,8 @@ class LakeConfig:
             raise ValueError(f"sla_hours must be at least 1, got {self.sla_hours}")
         if self.lookback_days < 0:
             raise ValueError(f"lookback_days must not be negative, got {self.lookback_days}")
-        if self.max_rows < 1 or self.page_size < 1:
-            raise ValueError("max_rows and page_size must be at least 1")
+        if self.max_rows < 1 or self.page_size < 1 or self.buckets < 1:
+            raise ValueError("max_rows, page_size and buckets must be at least 1")
 
     def check_limit(self, limit: int | None) -> None:
         """A source is asked for 1..max_rows rows; None means the whole window."""

@@ -9,11 +9,8 @@ from pyspark.sql import functions as F
 
 from ticketlake.config import RAW_COLUMNS, LakeConfig
 from ticketlake.functions.casts import ntz, to_timestamp
-from ticketlake.operators.positions import with_positions
-
-# Creation time, key (a missing key sorts as empty text), update time; the remaining columns only
-# order rows that are equal in these, which makes a cut reproducible.
-SOURCE_ORDER = ("created_date", "unique_key", "resolution_action_updated_date")
+from ticketlake.operators.page_index import PageIndex
+from ticketlake.operators.positions import SOURCE_ORDER, source_order, with_positions
 
 
 def created_at() -> Column:
@@ -35,11 +32,6 @@ def in_window(raw: DataFrame, since, until=None) -> DataFrame:
     return rows if next_year > 9999 else rows.filter(text < f"{next_year:04d}")
 
 
-def source_order() -> list[Column]:
-    rest = [c for c in RAW_COLUMNS if c not in SOURCE_ORDER]
-    return [F.coalesce(F.col(c), F.lit("")).asc() for c in (*SOURCE_ORDER, *rest)]
-
-
 def first_n(raw: DataFrame, n: int) -> DataFrame:
     """The oldest n rows."""
     return raw.orderBy(*source_order()).limit(n)
@@ -56,8 +48,7 @@ def numbered(raw: DataFrame, row_id: Sequence[str] = ()) -> DataFrame:
 
 def page(raw: DataFrame, offset: int, size: int) -> DataFrame:
     """Rows offset .. offset+size of the source order."""
-    inside = F.col("position").between(offset, offset + size - 1)
-    return numbered(raw).filter(inside).select(*RAW_COLUMNS)
+    return PageIndex.build(raw).page(offset, size)
 
 
 def extract(

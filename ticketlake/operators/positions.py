@@ -7,12 +7,23 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ticketlake.config import fresh_dir
+from ticketlake.config import RAW_COLUMNS, fresh_dir
+
+# Creation time, key (a missing key sorts as empty text), update time; the remaining columns only
+# order rows that are equal in these, which makes a cut reproducible.
+SOURCE_ORDER = ("created_date", "unique_key", "resolution_action_updated_date")
 
 # Spark numbers the files of a write by task; the number has five digits or more.
 _TASK = r"part-(\d+)"
 
 
+def source_order() -> list[Column]:
+    """A total order but for equal rows: texts, then which of them are missing."""
+    columns = [*SOURCE_ORDER, *(c for c in RAW_COLUMNS if c not in SOURCE_ORDER)]
+    missing = F.concat(*[F.when(F.col(c).isNull(), F.lit("1")).otherwise(F.lit("0")) for c in columns])
+    return [*[F.coalesce(F.col(c), F.lit("")).asc() for c in columns], missing.asc()]
+
+
 def with_positions(rows: DataFrame, order: Sequence[Column], label: str) -> DataFrame:
     """The rows with their `position` in the given order, counted from 0.
 

@@ -72,6 +72,21 @@ def staged(
     return with_response_hours(newest_rows(typed(bronze, cfg, row_id), row_id), extra)
 
 
+# Keys that differ only in so many low bits share a bucket: new tickets have neighbouring keys.
+KEY_RUN_BITS = 8
+
+
+def bucket_of(buckets: int) -> Column:
+    """The bucket of a staged row: by its key's run or, without a key, by its batch."""
+    run = F.xxhash64(F.shiftright("unique_key", KEY_RUN_BITS))
+    by = F.when(F.col("unique_key").isNotNull(), run).otherwise(batch_hash())
+    return F.pmod(by, F.lit(buckets)).cast("int")
+
+
+def batch_hash() -> Column:
+    return F.xxhash64("ingest_date", "_batch_id")
+
+
 def merge_staged(
     previous: DataFrame, new_typed: DataFrame, batches: DataFrame, extra: tuple[str, ...] = ()
 ) -> DataFrame:

@@ -272,14 +272,12 @@ def _unpivot(one_row: DataFrame, schema: str, lines: list[tuple[Column, ...]]) -
 
 def lake_stats(lake: Lake, rules: Sequence[str]) -> DataFrame:
     """`stats` of the published run of a lake, with the threshold and source it recorded."""
-    record = lake.published_record()
-    run_id, marts_run = record["run_id"], lake.published()["marts_run"]
-    marts = {m: lake.mart(m, marts_run) for m in MART_NAMES}
+    visible, record = lake.visible(), lake.published_record()
     return stats(
         lake.bronze(),
-        lake.silver(run_id),
-        lake.quarantine(run_id),
-        marts,
+        visible.silver(),
+        visible.quarantine(),
+        {m: visible.mart(m) for m in MART_NAMES},
         rules,
         record["threshold"],
         record["source"],

@@ -25,15 +25,21 @@ def delete(spark: SparkSession, path: str) -> None:
     fs.delete(hadoop_path, True)
 
 
-def first_line(spark: SparkSession, path: str) -> str:
-    """The first line of a text file, without its end."""
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A new small file."""
+    hadoop_path, fs = _path(spark, path)
+    stream = fs.create(hadoop_path, False)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small file."""
     hadoop_path, fs = _path(spark, path)
-    codecs = spark._jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(spark._jsc.hadoopConfiguration())
     stream = fs.open(hadoop_path)
     try:
-        codec = codecs.getCodec(hadoop_path)
-        plain = stream if codec is None else codec.createInputStream(stream)
-        reader = spark._jvm.java.io.BufferedReader(spark._jvm.java.io.InputStreamReader(plain, "UTF-8"))
-        return (reader.readLine() or "").removeprefix("\ufeff")
+        return bytes(stream.readAllBytes()).decode()
     finally:
         stream.close()
