@@ -1,6 +1,9 @@
 from __future__ import annotations
 
+import math
 import random
+import unicodedata
+from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
@@ -64,8 +67,9 @@ def test_the_model_is_bounded_and_keeps_the_most_frequent(spark):
     rows = [(f"w{i}", "xx", 1) for i in range(400)] + [(f"f{i}", "xx", 40 + i) for i in range(30)]
     rows += [("f0", "yy", 2)]
     counts = spark.createDataFrame(rows, "unit string, lang string, n bigint").repartition(3)
-    kept = {r["unit"]: dict(r["langs"]) for r in language._most_frequent(counts, 130)}
-    assert {f"f{i}" for i in range(30)} <= kept.keys() and kept["f0"] == {"xx": 40, "yy": 2}
+    counts = language._by_unit(counts, ["xx", "yy"])
+    kept = {r["unit"]: r["counts"] for r in language._most_frequent(counts, 130)}
+    assert {f"f{i}" for i in range(30)} <= kept.keys() and kept["f0"] == "0:40,1:2"
     assert 100 <= len(kept) <= 160
     assert len(language._most_frequent(counts, 1000)) == 430
 
@@ -92,3 +96,67 @@ def test_units_that_no_task_holds_count_as_well(spark, monkeypatch, docs, model)
     got, want = (sorted((r[0], r["lang_pred"], r["score"]) for r in language.predict(table, m).collect()) for m in (few, model))
     assert [x[:2] for x in got] == [x[:2] for x in want]
     assert np.allclose([x[2] for x in got], [x[2] for x in want], rtol=1e-9, atol=0)
+
+
+def plain_predictions(taught, texts):
+    """Every word and n-gram counted in plain dictionaries, every text scored word by word."""
+    def letters(t):
+        return "".join(c if unicodedata.category(c).startswith("L") else " " for c in (t or "").lower()).split()
+
+    def pieces(word, n):
+        padded = word if n <= 1 else f"<{word}>"
+        return [padded[i : i + n] for i in range(len(padded) - n + 1)]
+
+    langs = sorted({lang for t, lang in taught if lang is not None and letters(t)})
+    counts = [defaultdict(Counter) for _ in range(5)]
+    for t, lang in taught:
+        for word in letters(t) if lang is not None else ():
+            counts[0][word][lang] += 1
+            for n in range(1, 5):
+                for piece in pieces(word, n):
+                    counts[n][piece][lang] += 1
+    whole = [{lang: sum(c[lang] for c in by.values()) for lang in langs} for by in counts]
+
+    def log(n, unit, lang):
+        return math.log((counts[n][unit][lang] + 0.1) / (whole[n][lang] + 0.1 * len(counts[n])))
+
+    def word_score(word, lang):
+        if word in counts[0]:
+            return log(0, word, lang)
+        for n in range(4, 0, -1):
+            known = [log(n, p, lang) for p in pieces(word, n) if p in counts[n]]
+            if known:
+                return sum(known) / len(known) + math.log(0.4) * (5 - n)
+        return 0.0
+
+    out = []
+    for t in texts:
+        total = {lang: math.log(whole[0][lang] / sum(whole[0].values())) + sum(word_score(w, lang) for w in letters(t)) for lang in langs}
+        best = max(total.values()) if letters(t) else None
+        share = best is not None and 1 / sum(math.exp(v - best) for v in total.values())
+        out.append((next(x for x in langs if total[x] == best), share) if share else ("und", 0.0))
+    return out
+
+
+@pytest.mark.parametrize("held", [(language.MAX_WORDS, language.MAX_GRAMS), (5, 3)])
+def test_whole_predictions_equal_plain_counting(spark, monkeypatch, docs, odd_rows, held):
+    monkeypatch.setattr(language, "MAX_WORDS", held[0])
+    monkeypatch.setattr(language, "MAX_GRAMS", held[1])
+    taught = [(t, lang) for _, t, lang in corpus(5, 120)] + [(None, "xx"), ("no lang", None), ("12 ½", "nil"), ("Straße ② Ⅳ", "xx")]
+    taught += [t for t in taught[:9] for _ in range(4)]
+    fitted = language.fit(spark.createDataFrame(taught, "text string, lang string").repartition(4))
+    rows = [(i, t) for i, t, _ in corpus(6, 80)] + odd_rows
+    rows += [(700, "½ ②"), (701, "Ⅳ"), (702, "٣"), (703, "ªº"), (704, "kaŉ ʰ a_b c1d"), (705, "zzzz qqqq"), (706, "ka " * 30_000)]
+    got = sorted(((r["doc_id"], r["text"]), r["lang_pred"], r["score"]) for r in language.predict(docs(rows).where("doc_id is not null"), fitted).collect() if r["text"] is not None)
+    rows = sorted(r for r in rows if None not in r)
+    for (key, lang, score), row, (want, share) in zip(got, rows, plain_predictions(taught, [t for _, t in rows]), strict=True):
+        assert key == row and lang == want and score == pytest.approx(share, rel=1e-6)
+
+
+def test_columns_of_any_name_stay(spark, model):
+    names = ["predicted_lang", "predicted_score", "digest_to_read", "digest", "found", "block", "part", "unit", "a.b", "lang", "total"]
+    table = spark.createDataFrame([(1, "kalomit", *names), (2, None, *names)], ", ".join(["doc_id bigint", "text string", *(f"`{n}` string" for n in names)]))
+    got = language.predict(table, model)
+    assert got.columns == [*table.columns, "lang_pred", "score"]
+    assert all(list(r)[2:-2] == names for r in got.collect())
+    assert sorted(r["lang_pred"] for r in got.collect()) == ["und", "xx"]
