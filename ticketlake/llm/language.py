@@ -23,6 +23,8 @@ UNKNOWN = "und"
 # Distinct words or texts a task holds before it hands them on or forgets them; different words that a block of texts
 # asks for at most (but for those of its last text), and unseen words that a block scores, on average.
 _HELD_WORDS, BLOCK_WORDS, BLOCK_UNSEEN = 500_000, 200_000, 50_000
+# Texts met by the most tasks whose answers are broadcast.
+COMMON_TEXTS = 1000
 
 
 _WORD = re.compile(r"[^\W\d_]+")
@@ -376,12 +378,20 @@ def predict(
     answers = _answers(asked, model, shared)
     texts = read.where("digest is not null").select("block", "digest", "total", "at", "times")
     found = texts.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_decided(shared), _KEY)
-    found = found.groupBy("digest").agg(F.min(F.struct("lang", "score")).alias("found"))  # a text may lie in several blocks
-    nobody = F.concat(F.lit("-"), F.monotonically_increasing_id()).cast("binary")  # spreads null texts, meets nothing
-    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in columns)).alias("row"), F.coalesce(digest, nobody).alias("digest"))
-    joined = rows.join(found, "digest", "left")
+    # a text lies in as many blocks as tasks read it; those of the most tasks are answered beside the shuffle
+    found = found.groupBy("digest").agg(F.min(F.struct("lang", "score")).alias("found"), F.count(F.lit(1)).alias("blocks"))
+    found = stored(found, "language-found-texts")
+    common = found.where("blocks > 1").orderBy(F.col("blocks").desc(), "digest").limit(COMMON_TEXTS)
+    common = F.broadcast(common.select("digest", F.col("found").alias("early")))
+    nobody = F.concat(F.lit("-"), F.monotonically_increasing_id()).cast("binary")  # meets nothing, spreads rows
+    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in columns)).alias("row"), digest.alias("digest"))
+    rows = rows.join(common, "digest", "left")
+    open_digest = F.when(F.col("early").isNull(), F.col("digest"))
+    rows = rows.select("row", "early", F.coalesce(open_digest, nobody).alias("digest"))
+    joined = rows.join(found.select("digest", "found"), "digest", "left")
+    answer = F.coalesce("early", "found")
     return joined.select(
         *(F.col("row")[c].alias(c) for c in columns),
-        F.coalesce(F.col("found")["lang"], unknown[0]).alias(lang_col),
-        F.coalesce(F.col("found")["score"], unknown[1]).alias(score_col),
+        F.coalesce(answer["lang"], unknown[0]).alias(lang_col),
+        F.coalesce(answer["score"], unknown[1]).alias(score_col),
     )
