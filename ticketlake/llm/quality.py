@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
-from operator import eq
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -14,9 +14,10 @@ from pyspark.sql import types as T
 
 from ticketlake.llm.common import arrow_batches, stored
 
-# Terms are hashed byte pairs and triples, and shares of words that repeat the one or the second one before
-# them; dimensions of the latent space.
-TERMS, REPEATS, DIMENSIONS = 4096, 2, 32
+# Terms are hashed byte pairs and triples, half of BYTE_TERMS each, and word pairs: words fall into WORD_CLASSES by
+# hash, and each ordered pair of classes one and two places apart is a term. Dimensions of the latent space.
+BYTE_TERMS, WORD_CLASSES, PLACES, DIMENSIONS = 2048, 8, (1, 2), 32
+TERMS = BYTE_TERMS + len(PLACES) * WORD_CLASSES**2
 # Labelled texts that vote at most (a bounded sample), neighbours that vote on one document, and the power
 # of the similarity that weighs a vote.
 MAX_LABELLED, NEIGHBOURS, SHARPNESS = 4096, 24, 16
@@ -24,34 +25,29 @@ _BLOCK_TEXTS, _BLOCK_BYTES = 128, 4 << 20
 
 
 def term_counts(texts: list[bytes]) -> np.ndarray:
-    """Counts of hashed byte pairs and triples, one row a text."""
+    """Counts of the terms, one row a text."""
     out = np.zeros((len(texts), TERMS), np.float32)
+    half, pairs_of_classes = BYTE_TERMS // 2, WORD_CLASSES**2
     for row, text in enumerate(texts):
         for at in range(0, max(len(text) - 2, 0), _BLOCK_BYTES):
             b = np.frombuffer(text, np.uint8)[at : at + _BLOCK_BYTES + 2].astype(np.uint32)
             pairs = (b[:-1] << np.uint32(8)) | b[1:]
             triples = (pairs[:-1] << np.uint32(8)) | b[2:]
-            half = TERMS // 2
             hashed = np.concatenate(
                 [
-                    (pairs[:-1] * np.uint32(2654435761)) >> np.uint32(21),
-                    ((triples * np.uint32(2246822519)) >> np.uint32(21)) + np.uint32(half),
+                    (pairs[:-1] * np.uint32(2654435761)) >> np.uint32(22),
+                    ((triples * np.uint32(2246822519)) >> np.uint32(22)) + np.uint32(half),
                 ]
             )
-            out[row] += np.bincount(hashed, minlength=TERMS)
+            out[row, :BYTE_TERMS] += np.bincount(hashed, minlength=BYTE_TERMS)
+        classes = np.array(list(map(crc32, text.split())), np.int64) % WORD_CLASSES
+        for nth, back in enumerate(PLACES):
+            term = classes[:-back] * WORD_CLASSES + classes[back:]
+            first = BYTE_TERMS + nth * pairs_of_classes
+            out[row, first : first + pairs_of_classes] = np.bincount(term, minlength=pairs_of_classes)
     return out
 
 
-def repeat_shares(texts: list[bytes]) -> np.ndarray:
-    """Square roots of the shares of words equal to the word one and two places before."""
-    out = np.zeros((len(texts), REPEATS), np.float32)
-    for row, text in enumerate(texts):
-        words = text.split()
-        for back in range(1, REPEATS + 1):
-            out[row, back - 1] = sum(map(eq, words, words[back:])) / max(1, len(words) - 1)
-    return np.sqrt(out)
-
-
 def _unit(rows: np.ndarray) -> np.ndarray:
     return rows / np.maximum(np.linalg.norm(rows, axis=1, keepdims=True), 1e-12)
 
@@ -67,22 +63,28 @@ class Model:
     prior: float
 
     def terms(self, texts: list[bytes]) -> np.ndarray:
-        return np.hstack([_unit(np.log1p(term_counts(texts)) * self.weights), repeat_shares(texts)])
+        """Bytes and words weigh the same."""
+        weighed = np.log1p(term_counts(texts)) * self.weights
+        return np.hstack([_unit(weighed[:, :BYTE_TERMS]), _unit(weighed[:, BYTE_TERMS:])])
 
-    def project(self, texts: list[bytes]) -> np.ndarray:
-        return _unit(self.terms(texts) @ self.axes)
+    def project(self, terms: np.ndarray) -> np.ndarray:
+        """Latent vectors. Blocks are filled up to one size, so that a text's vector doesn't depend on its block."""
+        full = np.zeros((_BLOCK_TEXTS, TERMS), np.float32)
+        full[: len(terms)] = terms
+        return _unit(full @ self.axes)
 
     def score(self, texts: list[bytes]) -> np.ndarray:
-        """Share of label 1 among the nearest labelled vectors, each weighed by its cosine."""
+        """Share of label 1 among the nearest labelled vectors, each weighed by its cosine. All that are as near as the
+        last of the NEIGHBOURS vote."""
         if not len(self.labels):
             return np.full(len(texts), self.prior)
-        rows = self.project(texts)
+        cosine = (self.project(self.terms(texts)) @ self.vectors.T)[: len(texts)]
         k = min(NEIGHBOURS, len(self.labels))
-        cosine = rows @ self.vectors.T
-        near = np.argpartition(-cosine, k - 1, axis=1)[:, :k]
-        weight = np.maximum(np.take_along_axis(cosine, near, 1).astype(float), 0) ** SHARPNESS
-        votes = (weight * self.labels[near]).sum(1)
-        some = weight.sum(1)
+        last = -np.partition(-cosine, k - 1, axis=1)[:, k - 1 : k]
+        row, near = np.nonzero((cosine >= last) & (cosine > 0))
+        weight = cosine[row, near].astype(float) ** SHARPNESS
+        some = np.bincount(row, weight, len(texts))
+        votes = np.bincount(row, weight * self.labels[near], len(texts))
         return np.where(some > 0, np.clip(votes / np.maximum(some, 1e-300), 0, 1), self.prior)
 
 
@@ -107,9 +109,10 @@ def fit(
 ) -> Model:
     """Term statistics cover every text of `corpus`; the labelled sample is bounded by MAX_LABELLED.
 
-    `labels` has the key and a label, 0 or 1; rows with another label, no key or a null text don't teach. The sample takes the texts of
-    smallest hash, copies as one with the mean of their labels. Without labelled rows every score
-    is 0.5.
+    `labels` has the key and a label, 0 or 1; rows with another label, no key or a null text don't teach. The sample
+    takes the texts of smallest hash, copies as one with the mean of their labels, also of rows that are repeated
+    or share a key. Tasks turn its texts into term vectors, and only these reach the driver. Without labelled
+    rows, as in empty tables, every score is 0.5.
     """
     arrow_batches(corpus.sparkSession)
     n, seen = 0, np.zeros(TERMS, np.int64)
@@ -128,23 +131,31 @@ def fit(
     sample = hashed.join(known, "key").groupBy("hash").agg(F.avg("label").alias("mean"))
     sample = stored(sample.orderBy("hash").limit(MAX_LABELLED), "quality-sample")
     texts = corpus.where(text.isNotNull()).select(F.xxhash64(text).alias("hash"), text.alias("text"))
-    rows = texts.join(F.broadcast(sample), "hash").groupBy("hash", "mean").agg(F.max("text").alias("text")).collect()
-    model = Model(weights, np.zeros((TERMS + REPEATS, DIMENSIONS), np.float32), np.zeros((0, DIMENSIONS)), np.zeros(0), 0.5)
-    if not rows:
+    texts = texts.join(F.broadcast(sample), "hash").groupBy("hash", "mean").agg(F.max("text").alias("text"))
+    model = Model(weights, np.zeros((TERMS, DIMENSIONS), np.float32), np.zeros((0, DIMENSIONS)), np.zeros(0), 0.5)
+    rows = texts.mapInArrow(_term_vectors(model), "hash long, mean double, terms binary").toArrow().sort_by("hash")
+    if not rows.num_rows:
         return model
-    rows = sorted(rows, key=lambda r: r["hash"])
-    texts, model.labels = [r["text"].encode() for r in rows], np.array([r["mean"] for r in rows])
+    terms = np.frombuffer(b"".join(rows.column("terms").to_pylist()), np.float32).reshape(-1, TERMS)
+    model.labels = rows.column("mean").to_numpy()
     model.prior = float(model.labels.mean())
-    blocks = [texts[at : at + _BLOCK_TEXTS] for at in range(0, len(texts), _BLOCK_TEXTS)]
-    gram = np.zeros((TERMS + REPEATS, TERMS + REPEATS), np.float32)
-    for block in blocks:
-        part = model.terms(block)
-        gram += part.T @ part
-    model.axes = np.ascontiguousarray(_leading(gram, DIMENSIONS))
-    model.vectors = np.concatenate([model.project(block) for block in blocks])
+    model.axes = np.ascontiguousarray(_leading(terms.T @ terms, DIMENSIONS))
+    blocks = range(0, len(terms), _BLOCK_TEXTS)
+    model.vectors = np.concatenate([model.project(terms[at : at + _BLOCK_TEXTS]) for at in blocks])[: len(terms)]
     return model
 
 
+def _term_vectors(model: Model):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = [x.encode() for x in batch.column("text").to_pylist()]
+            blocks = [model.terms(texts[at : at + _BLOCK_TEXTS]) for at in range(0, len(texts), _BLOCK_TEXTS)]
+            terms = pa.array([row.tobytes() for block in blocks for row in block], pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column("hash"), batch.column("mean"), terms], names=["hash", "mean", "terms"])
+
+    return run
+
+
 def _leading(gram: np.ndarray, k: int) -> np.ndarray:
     """Axes of the k largest eigenvalues by subspace iteration, which needs no copy of the matrix."""
     axes = np.linalg.qr(np.random.default_rng(0).standard_normal((len(gram), 2 * k)).astype(np.float32))[0]
@@ -172,7 +183,9 @@ def score(docs: DataFrame, model: Model, text_col: str = "text", score_col: str
     """docs with a score from 0 to 1; higher: label 1 is likelier. A null text scores like the empty one.
 
     Every document meets every labelled vector: exact cosines, block by block. A text without terms, or far
-    from all labelled ones, scores the mean label. A column of the input named like the score is replaced.
+    from all labelled ones, scores the mean label. Equal texts score the same, repeated rows each on its own; of
+    labelled vectors as near as the last that votes all vote. A column of the input named like the score is
+    replaced, others stay. An empty table gives an empty result.
     """
     arrow_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
