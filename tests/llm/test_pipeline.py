@@ -1,7 +1,10 @@
 from __future__ import annotations
 
+from collections import Counter
+
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from checks.compare import difference
@@ -27,7 +30,7 @@ def test_queries_equal_their_sql(spark, name):
 
 def test_every_operator_has_a_query():
     numbers = [int(name.split("_")[0].removeprefix("op")) for name in LLM_QUERIES]
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
 
 
 def test_each_stage_on_its_own_input(spark):
@@ -65,3 +68,41 @@ def test_each_stage_on_its_own_input(spark):
     sizes = [(r["doc_id"], len(r["text"].encode())) for r in cut]
     check_packs(kept[-1], sizes, packing.CONTEXT, packing.BATCH_TOKENS, packing.BUCKETS)
     assert len(packed) >= len(cut)
+
+
+@pytest.fixture
+def odd_docs(docs, odd_rows):
+    """The odd rows with the columns of documents and further ones of clashing names."""
+    more = {"quality_score": F.lit("mine"), "Quality_Score_": F.lit("too"), "lang": F.lit(None).cast("string")}
+    return docs(odd_rows).withColumns({"n_chars": F.length("text").cast("long"), **more})
+
+
+def test_stages_keep_the_columns_and_rows_of_odd_tables(spark, odd_docs, odd_rows):
+    by_name = dict(corpus_pipeline.STAGES)
+    rows = {name: stage(spark, odd_docs, SF_DIR) for name, stage in corpus_pipeline.STAGES}
+    for name, table in rows.items():
+        if name != "packing":
+            assert table.columns == odd_docs.columns
+            assert all((r["quality_score"], r["Quality_Score_"], r["block"]) == ("mine", "too", "x") for r in table.collect())
+    given = Counter(odd_rows)
+    scored = Counter((r["doc_id"], r["text"]) for r in rows["quality classifier"].collect())
+    assert all(scored[r] in (0, given[r]) for r in given) and set(scored) <= set(given)  # equal rows share a verdict
+    verdicts = {}
+    assert all(verdicts.setdefault(t or "", scored[i, t] > 0) == (scored[i, t] > 0) for i, t in given)
+
+    exact = [(r["doc_id"], r["text"]) for r in rows["exact dedup"].collect()]
+    assert sorted(lowered(t) for _, t in exact) == sorted({lowered(t) for _, t in odd_rows}) and set(exact) <= set(given)
+    near = [(r["doc_id"], r["text"]) for r in rows["SimHash near-dedup"].collect()]
+    assert len(near) == len(set(near)) and set(near) <= set(given)
+    # one row a group; groups of rows that share an id may have it as their smallest both
+    assert {i for i, _ in near} == {root for _, _, root in near_groups(odd_rows, 3, 3)}
+    cut = rows["suffix-array dedup"].collect()
+    assert Counter(r["doc_id"] for r in cut) == Counter(i for i, _ in odd_rows)
+    assert all(r["text"] is not None and r["n_chars"] == len(r["text"]) for r in cut)
+    assert {r["doc_id"] for r in rows["packing"].collect()} == {i for i, _ in odd_rows}
+    assert list(by_name) == ["quality classifier", "exact dedup", "SimHash near-dedup", "suffix-array dedup", "packing"]
+
+
+def test_stages_give_nothing_for_empty_tables(spark, odd_docs):
+    for _, stage in corpus_pipeline.STAGES:
+        assert stage(spark, odd_docs.limit(0), SF_DIR).count() == 0
