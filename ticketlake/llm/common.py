@@ -16,7 +16,8 @@ BATCH_ROWS, BATCH_BYTES = 2048, 16 << 20
 
 
 def arrow_batches(spark: SparkSession) -> None:
-    """Bound what a Python worker receives at once."""
+    """Bound what a Python worker receives at once. The settings stay with the session: plans are lazy and read them
+    when they run."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
 
