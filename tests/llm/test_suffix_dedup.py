@@ -87,6 +87,33 @@ def test_odd_rows(docs, odd_rows):
     assert result(suffix_dedup.repeated_bytes(docs(rows))) == brute_force(rows, 100)
 
 
+def test_very_long_texts(docs, odd_rows):
+    assert max(len(t or "") for _, t in odd_rows) > 100_000
+    assert result(suffix_dedup.repeated_bytes(docs(odd_rows))) == brute_force(odd_rows, 100)
+
+
+def test_blocks_are_bounded_in_rows_and_bytes(docs, monkeypatch):
+    monkeypatch.setattr(suffix_dedup, "BLOCK_ROWS", 16)
+    monkeypatch.setattr(suffix_dedup, "BLOCK_BYTES", 4000)
+    rng = random.Random(9)
+    rows = [(i, None if i % 31 == 0 else "é" * rng.choice([0, 1, 100, 126, 240, 500, 1100, 4000])) for i in range(400)]
+    table = suffix_dedup._with_blocks(docs(rows), "doc_id", "text")
+    sizes = {}
+    for r in table.select("block", "text").collect():
+        sizes.setdefault(r["block"], []).append(len(r["text"].encode()))
+    assert all(len(x) <= 16 and (sum(x) <= 4000 or len(x) == 1) for x in sizes.values())
+    assert len(sizes) < 300  # short neighbours do share blocks
+    rows = corpus(9)[:60]
+    assert result(suffix_dedup.repeated_bytes(docs(rows))) == brute_force(rows, 100)
+
+
+def test_counts_above_a_byte_are_whole():
+    count = np.array([1, 254, 255, 256, 510, 511, 3])
+    entries, parts = suffix_dedup._in_bytes(np.arange(7), count)
+    assert np.bincount(entries, weights=parts).tolist() == count.tolist()
+    assert parts.min() > 0 and parts.max() <= 255
+
+
 def test_texts_stay_whole_characters_and_columns_stay(docs, empty):
     rows = [(1, "é" * 80), (2, "x" + "é" * 80 + "y"), (3, None)]
     cut = suffix_dedup.without_repeats(docs(rows))

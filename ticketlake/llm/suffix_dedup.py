@@ -16,9 +16,9 @@ from ticketlake.llm.common import NO_ID, arrow_batches, stored
 from ticketlake.llm.suffix_sort import deep_shallow
 
 LENGTH = 100
-# Rows of a block (neighbours in their file); anchors of a bucket on average; occurrences from which an
-# anchor's strings are dealt one by one; bytes handled at once.
-BLOCK_ROWS, BUCKET_ANCHORS, HOT, PIECE = 1024, 200_000, 1000, 1 << 20
+# Rows and bytes of a block at most (neighbours in their file, a single longer text is a block of its own); anchors of
+# a bucket on average; occurrences from which an anchor's strings are dealt one by one; bytes handled at once.
+BLOCK_ROWS, BLOCK_BYTES, BUCKET_ANCHORS, HOT, PIECE = 1024, 16 << 20, 200_000, 1000, 1 << 20
 
 _SEEN = np.dtype([("hash", "<u8"), ("block", "<u4"), ("n", "u1")])
 _SPAN = np.dtype([("hash", "<u8"), ("doc", "<i8"), ("digest", "<i8"), ("at", "<i8"), ("n", "<u2"), ("off", "<u2")])
@@ -118,6 +118,15 @@ _DEALT = "bucket long, block long, spans binary, text binary, windows binary, ra
 _FOUND = "block long, ranges binary, copies binary"
 
 
+def _in_bytes(entries: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The entries, repeated where their count takes more than one byte, and a byte of the count for each."""
+    times = -(-count // 255)
+    out = np.full(times.sum(), 255)
+    last = np.cumsum(times) - 1
+    out[last] = count - 255 * (times - 1)
+    return np.repeat(entries, times), out
+
+
 def _anchors(length: int, buckets: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         anchors = Anchors(length)
@@ -134,9 +143,10 @@ def _anchors(length: int, buckets: int):
             order = np.lexsort((gram, block))
             block, gram = block[order], gram[order]
             new = np.flatnonzero(np.concatenate([[True], (gram[1:] != gram[:-1]) | (block[1:] != block[:-1])])[: len(gram)])
+            count = np.diff(np.concatenate([new, [len(gram)]]))
+            new, count = _in_bytes(new, count)
             seen = np.zeros(len(new), _SEEN)
-            seen["hash"], seen["block"] = gram[new], block[new]
-            seen["n"] = np.minimum(np.diff(np.concatenate([new, [len(gram)]])), 255)
+            seen["hash"], seen["block"], seen["n"] = gram[new], block[new], count
             bucket = (_mix(seen["hash"]) >> np.uint64(8)) % np.uint64(buckets)
             yield from _rows(_ANCHORS, [(b, seen[at].tobytes()) for b, at in _parts(bucket)]).to_batches()
 
@@ -377,10 +387,17 @@ def _removed(length: int, whole_characters: bool, result: T.StructType):
 
 
 def _with_blocks(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """Rows under fixed names, each with the block of neighbouring rows of its file that it belongs to."""
-    block = F.pmod(
-        F.xxhash64("_metadata.file_path", F.floor(F.col("_metadata.row_index") / BLOCK_ROWS)), F.lit(2**32 - 5)
-    )
+    """Rows under fixed names, each with the block that it belongs to: neighbours in its file of about its size.
+
+    A row alone tells its block. Texts above BLOCK_BYTES / BLOCK_ROWS fall into classes that double in size, and the
+    blocks of a class span half as many rows as those of the class before, so that each keeps to BLOCK_BYTES.
+    """
+    size = F.octet_length(F.coalesce(docs[text_col], F.lit("")))
+    doubled = F.greatest(F.ceil(F.log2(size / F.lit(BLOCK_BYTES / BLOCK_ROWS))), F.lit(0))  # null where size is 0
+    doubled = F.coalesce(doubled, F.lit(0))
+    span = F.greatest(F.floor(BLOCK_ROWS / F.pow(F.lit(2), doubled)), F.lit(1))
+    place = F.floor(F.col("_metadata.row_index") / span)
+    block = F.pmod(F.xxhash64("_metadata.file_path", doubled, place), F.lit(2**32 - 5))
     row = F.struct(*(docs[c] for c in docs.columns if c != text_col), F.lit(0).alias("filler"))
     columns = [
         F.coalesce(docs[id_col].cast("long"), F.lit(NO_ID)).alias("doc_id"),
@@ -408,8 +425,9 @@ def repeated_bytes(
     empty; a null id sorts last; rows that share an id count as one document, in which equal starts are
     not earlier. With whole_characters a span leaves the characters that it covers in part. An empty table gives an empty result. Whatever else the table holds is passed on in `row`.
 
-    1. Every string has an anchor, its k-gram of smallest hash; blocks of neighbouring documents list
-       their anchors once, and k-grams found twice or more are handed back to the blocks.
+    1. Every string has an anchor, its k-gram of smallest hash; blocks of neighbouring documents of like size,
+       bounded in rows and bytes (a longer text is alone), list their anchors once, and k-grams found twice or
+       more are handed back to the blocks.
     2. A full copy of a text in an earlier document is settled by its digest alone.
     3. Blocks cut the runs of strings around repeated anchors; equal runs are merged, their strings
        meet in buckets of equal anchors, where deep-shallow sorting brings equal strings together and
