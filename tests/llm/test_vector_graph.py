@@ -127,3 +127,23 @@ def test_all_vectors_are_compared_where_the_search_finds_too_little(spark, monke
     monkeypatch.setattr(vector_graph, "CHUNK", 70)
     rows = [(i, v.tolist()) for i, v in enumerate(clustered(6, 200))] + [(900, clustered(6, 200)[7].tolist())]
     assert result(vector_graph.linked_vectors(table(spark, rows))) == brute_force(rows)
+
+
+def test_the_audit_draws_a_bounded_number_where_nothing_is_linked(spark, monkeypatch):
+    monkeypatch.setattr(vector_graph, "AUDITED", 16)
+    monkeypatch.setattr(vector_graph, "DRAWN", 100)
+    drawn, real = [], vector_graph._chunks
+    chunks = lambda *a: (drawn.append(len(c[0])) or c for c in real(*a))
+    monkeypatch.setattr(vector_graph, "_chunks", chunks)
+    rows = [(i, v.tolist()) for i, v in enumerate(np.random.default_rng(7).normal(size=(300, 32)))]
+    monkeypatch.setattr(vector_graph, "SAMPLE_PER_CLUSTER", 1)
+    assert result(vector_graph.linked_vectors(table(spark, rows))) == brute_force(rows)
+    assert drawn == [16, 32, 52]
+
+
+def test_a_sample_of_few_bytes_changes_no_result(spark, monkeypatch):
+    monkeypatch.setattr(vector_graph, "CLUSTER", 40)
+    monkeypatch.setattr(vector_graph, "SAMPLE_BYTES", 5 * 16 * 8)
+    rows = [(i, v.tolist()) for i, v in enumerate(clustered(8, 200))]
+    found = sum(n for _, n, _ in result(vector_graph.linked_vectors(table(spark, rows))))
+    assert found >= 0.98 * sum(n for _, n, _ in brute_force(rows))

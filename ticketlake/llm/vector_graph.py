@@ -9,7 +9,6 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ticketlake.config import fresh_dir
 from ticketlake.llm.common import NO_ID, arrow_batches, stored
 from ticketlake.llm.components import local_roots, lowest_labels
 
@@ -19,10 +18,11 @@ CLUSTER, MAX_CLUSTERS, SAMPLE_PER_CLUSTER, OVERLAP, PART = 256, 16_384, 8, 2, 10
 # Neighbours kept, candidates looked at, how much nearer a kept neighbour must be to hide a candidate, and the
 # beam of the greedy search.
 DEGREE, CANDIDATES, ALPHA, BEAM = 24, 64, 1.2, 32
-# The search goes on from vectors this far below the threshold; vectors drawn at first and linked vectors wanted for
-# the audit; the recall that is asked for. Vectors and bytes that are compared with all others at once.
-SLACK, AUDITED, LINKED, RECALL = 0.1, 512, 256, 0.98
-CHUNK, CHUNK_BYTES = 8192, 32 << 20
+# The search goes on from vectors this far below the threshold; vectors that the audit draws at first and at most, and
+# linked vectors that it wants; the recall that is asked for. Vectors and bytes of a block that is compared at once;
+# bytes of the centroid sample.
+SLACK, AUDITED, DRAWN, LINKED, RECALL = 0.1, 512, 8192, 256, 0.98
+CHUNK, CHUNK_BYTES, SAMPLE_BYTES = 8192, 32 << 20, 128 << 20
 
 _VECTORS = "vec_id long, vec binary"
 _CELL = "node long, links long, root long"
@@ -218,9 +218,11 @@ def linked_vectors(
     Shards are clusters around centroids of a bounded sample; a vector joins its nearest OVERLAP. Each shard
     builds robust-pruned neighbour lists, which are united by vector. Cells (parts of a cluster, in
     pairs) run the searches, and a pair counts in the smallest cluster that both share. An audit draws vectors
-    outside the sample until LINKED of them have links (or none are left) and compares them with all others; while
-    too few links are found, vectors join twice as many clusters. Where that costs as much as comparing all
-    vectors, all are compared.
+    outside the sample until LINKED of them have links (DRAWN vectors at most) and compares them with all others;
+    while too few links are found, vectors join twice as many clusters. Where that costs as much as comparing all
+    vectors, all are compared, in pairs of blocks. Where links are so rare that only m < LINKED of the drawn vectors
+    have any, the recall rests on these m: losing 3 / m of the linked vectors' links may then go unseen one time in
+    twenty. The driver sees the sample (SAMPLE_BYTES) and the drawn vectors, CHUNK_BYTES at a time.
     """
     spark = vectors.sparkSession
     arrow_batches(spark)
@@ -255,34 +257,39 @@ def linked_vectors(
 def _found(nodes: DataFrame, threshold: float) -> DataFrame:
     """(node, links, root) of every cell; the audit decides whether the shards overlap enough."""
     spark = nodes.sparkSession
-    n = nodes.count()
-    k = min(MAX_CLUSTERS, max(1, n // CLUSTER))
-    drawn = nodes.select("node", "vec", F.xxhash64("digest").alias("rank"))
-    picked = drawn.orderBy("rank").limit(k * SAMPLE_PER_CLUSTER).collect()
-    if not picked:
+    n, width = nodes.agg(F.count(F.lit(1)), F.max(F.octet_length("vec"))).first()
+    if not n:
         return spark.createDataFrame([], _CELL)
+    k = min(MAX_CLUSTERS, max(1, n // CLUSTER))
+    drawn = nodes.select("node", "vec", F.xxhash64("digest").alias("rank")).orderBy("rank")
+    picked = drawn.limit(max(1, min(k * SAMPLE_PER_CLUSTER, SAMPLE_BYTES // width))).collect()
     sample = np.stack([np.frombuffer(r["vec"]) for r in picked])
-    shared = spark.sparkContext.broadcast(centroids(sample, min(k, len(sample))))
     links = _audited(nodes, picked[-1]["rank"] if n > len(picked) else None, threshold)
+    shared = spark.sparkContext.broadcast(centroids(sample, min(k, len(sample))))
     overlap = OVERLAP
     while True:
         found = stored(_searched(nodes, shared, overlap, threshold), "graph-found")
         if _recall(found, links) >= RECALL:
-            return found
+            break
         overlap *= 2
         if overlap >= k or CLUSTER * overlap**2 >= n:
-            return _all_compared(nodes, threshold)
+            found = stored(_all_compared(nodes, n, width, threshold), "graph-compared")
+            break
+    shared.unpersist()
+    return found
 
 
 def _audited(nodes: DataFrame, sampled_to: int | None, threshold: float) -> dict[int, int]:
     """All links of vectors drawn outside the sample, of those that have any: a sampled vector is
-    nearer to its centroid than others are."""
+    nearer to its centroid than others are. DRAWN vectors at most, whatever the table holds."""
     rank = F.xxhash64("digest", F.lit(1))
     others = nodes if sampled_to is None else nodes.where(F.xxhash64("digest") > sampled_to)
     links: dict[int, int] = {}
-    for ids, vectors in _chunks(others.select("node", "vec", rank.alias("rank")), AUDITED):
-        linked = _compared(nodes, ids, vectors, threshold).where("links > 0").groupBy("node").agg(F.sum("links"))
+    for ids, vectors in _chunks(others.select("node", "vec", rank.alias("rank")), AUDITED, DRAWN):
+        shared = nodes.sparkSession.sparkContext.broadcast((ids, vectors))
+        linked = _compared(nodes, shared, threshold).where("links > 0").groupBy("node").agg(F.sum("links"))
         links.update(map(tuple, linked.collect()))
+        shared.unpersist()
         if len(links) >= LINKED:
             break
     return links
@@ -298,21 +305,31 @@ def _recall(found: DataFrame, links: dict[int, int]) -> float:
     return float(min(got.sum() / want.sum(), (got / want).mean()))
 
 
-def _chunks(ranked: DataFrame, first: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Numbers and vectors of (node, vec, rank) by rank, `first` and then twice as many each time as far as they fit."""
-    last, size, rest = None, first, ranked
-    while rows := rest.orderBy("rank").limit(size).collect():
+def _chunks(ranked: DataFrame, first: int, most: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Numbers and vectors of (node, vec, rank) by rank, `most` in all: `first` and then twice as many each time as
+    far as they fit."""
+    size, rest = min(first, most), ranked
+    while size and (rows := rest.orderBy("rank").limit(size).collect()):
         vectors = np.stack([np.frombuffer(r["vec"]) for r in rows])
         yield np.array([r["node"] for r in rows]), vectors
-        last = rows[-1]["rank"]
-        size = max(1, min(2 * size, CHUNK, CHUNK_BYTES // vectors[0].nbytes))
-        rest = ranked.where(F.col("rank") > last)
+        most -= len(rows)
+        size = min(most, max(1, min(2 * size, CHUNK, CHUNK_BYTES // vectors[0].nbytes)))
+        rest = ranked.where(F.col("rank") > rows[-1]["rank"])
+
 
+def _links_between(left: tuple, right: tuple, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+    """Places in left and right of the vectors that are linked, by blocked products in double precision."""
+    (x, node_x), (y, node_y) = left, right
+    found = [np.zeros((0, 2), np.int64)]
+    for at in range(0, len(x), 512):
+        near = (x[at : at + 512] @ y.T >= threshold) & (node_x[at : at + 512, None] != node_y)
+        found.append(np.argwhere(near) + [at, 0])
+    return tuple(np.concatenate(found).T)
 
-def _compared(nodes: DataFrame, ids: np.ndarray, vectors: np.ndarray, threshold: float) -> DataFrame:
-    """(node, links, root) of the given vectors, by blocked products with every vector; vectors that they
+
+def _compared(nodes: DataFrame, shared, threshold: float) -> DataFrame:
+    """(node, links, root) of the broadcast vectors, by blocked products with every vector; vectors that they
     link with come with their root and no links."""
-    shared = nodes.sparkSession.sparkContext.broadcast((ids, vectors))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, vectors = shared.value
@@ -320,25 +337,45 @@ def _compared(nodes: DataFrame, ids: np.ndarray, vectors: np.ndarray, threshold:
             if not batch.num_rows:
                 continue
             node, copies = batch.column("node").to_numpy(), batch.column("copies").to_numpy()
-            x = _matrix(batch.column("vec"))
-            for at in range(0, len(ids), 512):
-                mine = ids[at : at + 512]
-                a, b = np.nonzero((x @ vectors[at : at + 512].T >= threshold) & (node[:, None] != mine))
-                links = np.bincount(b, weights=copies[a], minlength=len(mine)).astype(np.int64)
-                members, roots = local_roots(node[a], mine[b])
-                counts = dict(zip(mine.tolist(), links.tolist(), strict=True))
-                arrays = members, np.array([counts.get(m, 0) for m in members.tolist()], np.int64), roots
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in arrays], names=["node", "links", "root"])
+            a, b = _links_between((_matrix(batch.column("vec")), node), (vectors, ids), threshold)
+            links = np.bincount(b, weights=copies[a], minlength=len(ids)).astype(np.int64)
+            members, roots = local_roots(node[a], ids[b])
+            counts = dict(zip(ids.tolist(), links.tolist(), strict=True))
+            arrays = members, np.array([counts.get(m, 0) for m in members.tolist()], np.int64), roots
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in arrays], names=["node", "links", "root"])
 
     return nodes.select("node", "copies", "vec").mapInArrow(run, _CELL)
 
 
-def _all_compared(nodes: DataFrame, threshold: float) -> DataFrame:
-    """(node, links, root) of all vectors, exactly."""
-    path = fresh_dir(nodes.sparkSession, "graph-compared")
-    for ids, vectors in _chunks(nodes.select("node", "vec", F.col("node").alias("rank")), CHUNK):
-        _compared(nodes, ids, vectors, threshold).write.mode("append").parquet(path)
-    return nodes.sparkSession.read.schema(_CELL).parquet(path)
+def _block_pair(threshold: float):
+    def run(table: pa.Table) -> pa.Table:
+        """Two blocks, or one with itself, whose vectors are all compared."""
+        node, copies, block = (table.column(c).to_numpy() for c in ("node", "copies", "block"))
+        x, first = _matrix(table.column("vec")), block == table.column("left")[0].as_py()
+        mine, others = np.flatnonzero(first), np.flatnonzero(~first)
+        if inner := not len(others):
+            others = mine
+        a, b = _links_between((x[mine], node[mine]), (x[others], node[others]), threshold)
+        a, b = mine[a], others[b]
+        links = np.bincount(a, weights=copies[b], minlength=len(node))
+        if not inner:
+            links += np.bincount(b, weights=copies[a], minlength=len(node))
+        members, roots = local_roots(node[a], node[b])
+        count = links[np.argsort(node)][np.searchsorted(np.sort(node), members)].astype(np.int64)
+        return pa.table({"node": members, "links": count, "root": roots})
+
+    return run
+
+
+def _all_compared(nodes: DataFrame, n: int, width: int, threshold: float) -> DataFrame:
+    """(node, links, root) of all vectors, exactly: blocks of bounded rows and bytes meet in pairs, each in a task."""
+    blocks = -(-n // max(1, min(CHUNK, CHUNK_BYTES // width)))
+    block = F.pmod(F.xxhash64("node"), F.lit(blocks)).alias("block")
+    other = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))).alias("other")
+    cells = nodes.select("node", "copies", "vec", block, other)
+    left, right = F.least("block", "other").alias("left"), F.greatest("block", "other").alias("right")
+    cells = cells.select("node", "copies", "vec", "block", left, right)
+    return cells.groupBy("left", "right").applyInArrow(_block_pair(threshold), _CELL)
 
 
 def _searched(nodes: DataFrame, shared, overlap: int, threshold: float) -> DataFrame:
