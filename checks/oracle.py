@@ -17,9 +17,10 @@ SINCE, UNTIL = "1996-01-01 00:00:00", "1999-06-30 12:00:00"
 
 RAW_LIST = ", ".join(RAW)
 SILVER_LIST = ", ".join(SILVER)
-# rows without a key are part of some results; their keys are compared as text
-KEY_TEXT = "* REPLACE (unique_key::VARCHAR AS unique_key)"
-STAGED_LIST = SILVER_LIST.replace("unique_key", "unique_key::VARCHAR AS unique_key")
+# rows without a key are part of some results; their keys are compared as text, beside the type they have
+KEY_TYPE = "lower(typeof(unique_key)) AS key_type"
+KEY_TEXT = f"* REPLACE (unique_key::VARCHAR AS unique_key), {KEY_TYPE}"
+STAGED_LIST = SILVER_LIST.replace("unique_key", "unique_key::VARCHAR AS unique_key") + f", {KEY_TYPE}"
 
 LINES = """
 lines AS (
@@ -310,7 +311,7 @@ ORACLE: dict[str, str] = {
     ),
     "silver_staged": sql(f"SELECT {STAGED_LIST} FROM staged", STAGED),
     "dedup_latest": sql(
-        "SELECT unique_key::VARCHAR AS unique_key, updated_at, _ingested_at, _batch_id, status FROM newest",
+        f"SELECT unique_key::VARCHAR AS unique_key, {KEY_TYPE}, updated_at, _ingested_at, _batch_id, status FROM newest",
         typed("raw"),
         newest("typed", "newest"),
     ),
@@ -340,7 +341,7 @@ ORACLE: dict[str, str] = {
     ),
     "rule_bbox": sql(f"SELECT {STAGED_LIST} FROM staged WHERE {BROKEN['latlon_in_nyc_bbox']}", STAGED),
     "gate_tags": sql(
-        """SELECT unique_key::VARCHAR AS unique_key, created_at, updated_at, failed_rules AS failed,
+        f"""SELECT unique_key::VARCHAR AS unique_key, {KEY_TYPE}, created_at, updated_at, failed_rules AS failed,
         if(failed_rules = '', 0, len(string_split(failed_rules, ',')))::INTEGER AS n_failed
         FROM staged_judged""",
         *JUDGED,

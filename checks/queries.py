@@ -91,8 +91,9 @@ def early_and_late(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFra
 
 
 def key_text(df: DataFrame) -> DataFrame:
-    """Results that hold rows without a key give it as text, so data frames keep it exact."""
-    return df.withColumn("unique_key", F.col("unique_key").cast("string"))
+    """Results that hold rows without a key give it as text, so data frames keep it exact, and its type beside it."""
+    key = F.col("unique_key")
+    return df.withColumns({"key_type": F.typeof(key), "unique_key": key.cast("string")})
 
 
 # ---------------------------------------------------------------- staging
@@ -138,7 +139,7 @@ def dedup_latest(spark, sf_dir):
     """The general form, for rows that bring no stored row ids."""
     rows = typed(spark, sf_dir)
     kept = latest_versions(rows, "unique_key", staging.VERSION_ORDER, staging.TIE_BREAK)
-    return key_text(kept).select("unique_key", "updated_at", "_ingested_at", "_batch_id", "status")
+    return key_text(kept).select("unique_key", "key_type", "updated_at", "_ingested_at", "_batch_id", "status")
 
 
 def stage_incremental(spark, sf_dir):
@@ -210,6 +211,7 @@ def gate_tags(spark, sf_dir):
     tagged = gate.tag(staged(spark, sf_dir), rules(), "failed")
     return key_text(tagged).select(
         "unique_key",
+        "key_type",
         "created_at",
         "updated_at",
         F.size("failed").alias("n_failed"),
