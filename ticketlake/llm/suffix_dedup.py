@@ -445,8 +445,10 @@ def repeated_bytes(
     total = whole.agg(F.sum("n")).first()[0] or 0
     # a block sends each bucket a row or two, so buckets are no more than the work needs
     buckets = max(2 * int(spark.conf.get("spark.sql.shuffle.partitions")), total // 30 // BUCKET_ANCHORS)
-    first = whole.groupBy("sha").agg(F.min("doc_id").alias("first"))
-    copies = whole.where(F.col("n") >= length).join(first, "sha").where("doc_id > first")
+    long = whole.where(F.col("n") >= length)
+    first = long.groupBy("sha").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first < last")
+    # stored, so that the join may split a group of very many copies
+    copies = long.join(stored(first.drop("last"), "suffix-first"), "sha").where("doc_id > first")
     packed = _copies(copies)
 
     narrow = rows.select("block", "doc_id", "digest", "text")
