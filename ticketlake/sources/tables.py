@@ -34,7 +34,7 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def _iso(ts) -> F.Column:
     """ISO text with zero milliseconds."""
-    return F.concat(F.translate(F.substring(ts.cast("string"), 1, 19), " ", "T"), F.lit(".000"))
+    return F.concat(F.replace(F.substring(ts.cast("string"), 1, 19), F.lit(" "), F.lit("T")), F.lit(".000"))
 
 
 def spread(scan: DataFrame, *keys: str) -> DataFrame:
@@ -48,14 +48,18 @@ def spread(scan: DataFrame, *keys: str) -> DataFrame:
 
 
 def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The joined input; which side is broadcast is left to the sizes Spark sees."""
+    """The joined input; which side is broadcast is left to the sizes Spark sees.
+
+    Orders meet their customers first: where customers are too many to broadcast, line items, several an order, are
+    not shuffled for them.
+    """
     t = {name: _table(spark, sf_dir, name) for name in TABLES}
     row_id = [F.col(f"_metadata.{m}").alias(n) for n, m in STORED_ROW_ID.items()]
     stored = spread(t["lineitem"].select("*", *row_id), "l_orderkey", "l_linenumber")
     place = t["nation"].join(t["region"], F.col("n_regionkey") == F.col("r_regionkey"))
+    orders = t["orders"].join(t["customer"], F.col("o_custkey") == F.col("c_custkey"))
     return (
-        stored.join(t["orders"], F.col("l_orderkey") == F.col("o_orderkey"))
-        .join(t["customer"], F.col("o_custkey") == F.col("c_custkey"))
+        stored.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
         .join(place, F.col("c_nationkey") == F.col("n_nationkey"))
         .join(t["part"], F.col("l_partkey") == F.col("p_partkey"))
     )
