@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import gzip
+import hashlib
 import json
 import random
 from datetime import date, datetime, timedelta
@@ -13,9 +14,9 @@ from tests.conftest import T0, rows_of, ticket
 from tests.pages import write_pages
 from ticketlake.config import RAW_COLUMNS, LakeConfig, fresh_dir, shared_root
 from ticketlake.operators import extract
-from ticketlake.operators.fingerprint import fingerprint
+from ticketlake.operators.fingerprint import batch_id, fingerprint
 from ticketlake.sources import bronze, files, paged
-from ticketlake.sources.files import read_csv, read_jsonl, write_jsonl
+from ticketlake.sources.files import file_a_task, header_lines, read_csv, read_jsonl, write_jsonl
 from ticketlake.streaming.landing import epoch_time, ingest_new_files
 
 CFG = LakeConfig()
@@ -314,3 +315,36 @@ def test_a_replayed_epoch_keeps_its_first_time(spark):
     assert epoch_time(spark, times, 3, T0) == T0
     assert epoch_time(spark, times, 3, T0 + timedelta(days=2)) == T0
     assert epoch_time(spark, times, 4, T0 + timedelta(days=2)) == T0 + timedelta(days=2)
+
+
+def test_the_landing_is_compressed_and_read_back_whole(spark, raw, tmp_path):
+    rows = raw([ticket(i, descriptor="a long text, " * 50) for i in range(500)] + [ticket(None, agency='"é\n')])
+    batch = ingest(rows, tmp_path)
+    files = [f for f in Path(batch.landing).iterdir() if f.name.startswith("part-")]
+    assert files and all(f.suffix == ".lz4" for f in files)
+    plain = str(tmp_path / "plain")
+    write_jsonl(rows, plain)
+    size = sum(f.stat().st_size for f in Path(plain).glob("part-*.json"))
+    assert 4 * sum(f.stat().st_size for f in files) < size
+    assert rows.exceptAll(read_jsonl(spark, batch.landing)).isEmpty() and read_jsonl(spark, batch.landing).count() == 501
+
+
+def test_batch_id_sums_are_whole_numbers_without_sign(spark):
+    digests = ["f" * 64, "f" * 64, "0123456789abcdef" * 4, "8" + "0" * 63]
+    sums = [sum(int(d[i : i + 16], 16) for d in digests) for i in range(0, 64, 16)]
+    wanted = "b" + hashlib.sha256(":".join(map(str, [4, *sums])).encode()).hexdigest()[:16]
+    table = spark.createDataFrame([(d,) for d in digests], "digest string")
+    assert table.agg(batch_id(F.col("digest"))).first()[0] == wanted
+    assert "DECIMAL(20,0))) AS STRING" not in str(batch_id(F.col("digest")))
+
+
+def test_headers_of_compressed_files_are_found_without_reading_them_whole(spark, tmp_path):
+    rows = spark.range(40_000).selectExpr("cast(id as string) as unique_key", "'x' as agency").repartition(4)
+    rows.write.option("compression", "lz4").csv(f"{tmp_path}/a", header=True)
+    rows.select("agency", "unique_key").write.option("compression", "lz4").csv(f"{tmp_path}/b", header=True)
+    before = spark.conf.get("spark.sql.files.openCostInBytes")
+    with file_a_task(spark):
+        assert header_lines(spark, f"{tmp_path}/*").rdd.getNumPartitions() == 8
+    assert spark.conf.get("spark.sql.files.openCostInBytes") == before
+    assert header_lines(spark, f"{tmp_path}/*").rdd.getNumPartitions() < 8
+    assert read_csv(spark, f"{tmp_path}/*").groupBy("agency").count().first()["count"] == 80_000

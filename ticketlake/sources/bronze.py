@@ -13,9 +13,9 @@ from pyspark.sql import types as T
 from ticketlake.config import BRONZE_SCHEMA, RAW_COLUMNS
 from ticketlake.functions.casts import ntz, to_bigint
 from ticketlake.operators.extract import created_at, newest_created
-from ticketlake.operators.fingerprint import batch_id, row_digest
+from ticketlake.operators.fingerprint import batch_id, json_line, row_digest
 from ticketlake.sources import fs
-from ticketlake.sources.files import read_jsonl, write_jsonl
+from ticketlake.sources.files import read_jsonl, write_lines
 from ticketlake.sources.log import RecordLog
 
 # Columns that identify a stored row, and the file metadata they come from. They let staging keep
@@ -58,7 +58,9 @@ def bronze_path(root: str) -> str:
 
 
 def land(spark: SparkSession, rows: DataFrame, root: str) -> Batch:
-    """Read the source once: write JSON lines and observe count, newest row and content id.
+    """Read the source once: write compressed JSON lines and observe count, newest row and content id.
+
+    A row's JSON is made once; the line that is written is the one that is digested.
 
     The observation sits in the stage that writes, so each row is counted by the one task attempt
     that commits it. Every attempt has a folder of its own, which is neither moved nor shared: what an
@@ -68,7 +70,8 @@ def land(spark: SparkSession, rows: DataFrame, root: str) -> Batch:
     seen, key = Observation(), to_bigint(F.col("unique_key"))
     observed = (
         rows.select(*RAW_COLUMNS)
-        .withColumn("_digest", row_digest())
+        .withColumn("_line", json_line())
+        .withColumn("_digest", row_digest(F.col("_line")))
         .observe(
             seen,
             F.count(F.lit(1)).alias("rows"),
@@ -78,7 +81,7 @@ def land(spark: SparkSession, rows: DataFrame, root: str) -> Batch:
             F.max(key).alias("high_key"),
         )
     )
-    write_jsonl(observed, path)
+    write_lines(observed, "_line", path)
     got = seen.get
     if not got["rows"]:
         fs.delete(spark, path)

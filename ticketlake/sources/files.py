@@ -5,6 +5,7 @@ from __future__ import annotations
 import csv
 import re
 from collections.abc import Iterator
+from contextlib import contextmanager
 from urllib.parse import unquote
 
 import pyarrow as pa
@@ -14,12 +15,16 @@ from pyspark.sql import types as T
 
 from ticketlake.config import RAW_COLUMNS, RAW_SCHEMA
 
+# JSON lines are ten times the size of the same rows as Parquet; this codec costs less time than the bytes it saves.
+LANDING_CODEC = "lz4"
+ROWS_A_FILE = 1_000_000
+
 
 def header_lines(spark: SparkSession, path: str) -> DataFrame:
     """(file, header): the first line of every file that has one, found by tasks of a plain text scan.
 
     A task stops at its first rows where its block can't be followed by another file; so of large files only the
-    beginnings of blocks are read. Small files, which share a task, are read to their end.
+    beginnings of blocks are read. Files that share a task are read to their end; under `file_a_task` none do.
     """
     largest, opening = (_bytes(spark, f"spark.sql.files.{name}") for name in ("maxPartitionBytes", "openCostInBytes"))
 
@@ -41,6 +46,18 @@ def header_lines(spark: SparkSession, path: str) -> DataFrame:
     return lines.mapInArrow(first_lines, "file string, header string")
 
 
+@contextmanager
+def file_a_task(spark: SparkSession) -> Iterator[None]:
+    """Scans that run meanwhile put no two files into one task."""
+    name = "spark.sql.files.openCostInBytes"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(_bytes(spark, "spark.sql.files.maxPartitionBytes")))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def _bytes(spark: SparkSession, setting: str) -> int:
     """A size setting, which Spark gives as a number with or without a unit."""
     number, unit = re.fullmatch(r"(\d+)\s*([kmgtp]?)i?b?", spark.conf.get(setting).strip().lower()).groups()
@@ -61,13 +78,14 @@ def read_csv(spark: SparkSession, path: str, multiline: bool = False) -> DataFra
     read. `path` may hold wildcards or name a folder. `multiline` accepts line breaks inside quoted cells, at
     the price of unsplittable files.
     """
-    found = header_lines(spark, path).withColumn("header", F.regexp_replace("header", "^\ufeff", ""))
-    headers = [r["header"] for r in found.select("header").distinct().collect()]
-    if len(headers) > 1:  # looked up once, each header reads its own files
-        groups = found.groupBy("header").agg(F.collect_list("file").alias("files")).collect()
-        by_header = {r["header"]: sorted(map(_plain_path, r["files"])) for r in groups}
-    else:
-        by_header = dict.fromkeys(headers, [path])
+    with file_a_task(spark):
+        found = header_lines(spark, path).withColumn("header", F.regexp_replace("header", "^\ufeff", ""))
+        headers = [r["header"] for r in found.select("header").distinct().collect()]
+        if len(headers) > 1:  # looked up once, each header reads its own files
+            groups = found.groupBy("header").agg(F.collect_list("file").alias("files")).collect()
+            by_header = {r["header"]: sorted(map(_plain_path, r["files"])) for r in groups}
+        else:
+            by_header = dict.fromkeys(headers, [path])
     table = spark.createDataFrame([], RAW_SCHEMA)
     for line, files in sorted(by_header.items()):
         header = tuple(next(csv.reader([line]), ()))
@@ -93,6 +111,17 @@ def read_jsonl(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(RAW_SCHEMA).option("mode", "FAILFAST").json(path)
 
 
-def write_jsonl(rows: DataFrame, path: str) -> None:
+def write_jsonl(rows: DataFrame, path: str, compression: str = "none") -> None:
     """One object per line, fields in name order, missing fields left out."""
-    rows.select(*sorted(RAW_COLUMNS)).write.option("ignoreNullFields", True).json(path)
+    lines = rows.select(*sorted(RAW_COLUMNS)).write.option("ignoreNullFields", True)
+    lines.options(**output(compression)).json(path)
+
+
+def write_lines(rows: DataFrame, line: str, path: str) -> None:
+    """The landing's form of `write_jsonl`: rows that bring their JSON line, compressed."""
+    rows.select(F.col(line).alias("value")).write.options(**output(LANDING_CODEC)).text(path)
+
+
+def output(compression: str) -> dict[str, str]:
+    """A compressed file is read by one task, so it holds a bounded number of rows."""
+    return {"compression": compression} | ({} if compression == "none" else {"maxRecordsPerFile": str(ROWS_A_FILE)})
