@@ -140,3 +140,23 @@ def test_merge_equals_rebuild(spark, raw):
     rebuilt = staging.staged(bronze.scan(spark, root), CFG, extra=extra)
     assert staged.exceptAll(rebuilt).count() == 0
     assert rebuilt.exceptAll(staged).count() == 0
+
+
+def test_a_merge_of_many_keys_shuffles_the_earlier_rows_once_for_both_joins(spark, bronze_of, tmp_path):
+    cfg = LakeConfig()
+    before = [*map(ticket, range(300)), ticket(None)]
+    bronze_of((before, T0)).write.parquet(f"{tmp_path}/first")
+    bronze_of((before[:150], T0 + timedelta(days=1))).write.parquet(f"{tmp_path}/late")
+    extra = ("_ingested_at", "_batch_id")
+    staging.staged(spark.read.parquet(f"{tmp_path}/first"), cfg, extra=extra).write.parquet(f"{tmp_path}/staged")
+    new = staging.typed(spark.read.parquet(f"{tmp_path}/late"), cfg)
+    batches = new.select("ingest_date", "_batch_id").distinct()
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        merged = staging.merge_staged(spark.read.parquet(f"{tmp_path}/staged"), new, batches, extra)
+        assert len(merged.collect()) == 301
+        plan = merged._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+        assert plan.count("ReusedExchange") >= 2, plan  # the keys that arrived, and the earlier rows
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)

@@ -100,16 +100,13 @@ def merge_staged(
     lineage = ["ingest_date", "_batch_id"]
     keyed = F.col("unique_key").isNotNull()
     columns = new_typed.columns
-    earlier = (
-        previous.select(*columns)
-        .join(batches.select(*lineage, F.lit(True).alias("_again")), lineage, "left")
-        .filter(keyed | F.col("_again").isNull())
-        .select(*columns)
-    )
+    earlier = previous.select(*columns)
+    unkeyed = earlier.filter(~keyed).join(batches.select(*lineage).distinct(), lineage, "left_anti").select(*columns)
     # only keys that arrived again are compared; with few new keys (Spark checks the size and
-    # broadcasts them) the rest of `previous` is passed on without a shuffle
+    # broadcasts them) the rest of `previous` is passed on without a shuffle, and with many both joins
+    # read one shuffle of it, as they start from the same rows
     arrived = new_typed.filter(keyed).select("unique_key").distinct()
-    untouched = earlier.join(arrived, "unique_key", "left_anti").select(*columns)
-    touched = earlier.join(arrived, "unique_key", "left_semi").select(*columns)
-    merged = newest_rows(touched.unionByName(new_typed)).unionByName(untouched)
+    untouched = earlier.filter(keyed).join(arrived, "unique_key", "left_anti").select(*columns)
+    touched = earlier.filter(keyed).join(arrived, "unique_key", "left_semi").select(*columns)
+    merged = newest_rows(touched.unionByName(new_typed)).unionByName(untouched).unionByName(unkeyed)
     return with_response_hours(merged, extra)
