@@ -22,7 +22,7 @@ from ticketlake.plans.lake import Lake
 from ticketlake.plans.run import frame_fetcher, rebuild_marts, run
 from ticketlake.sources import bronze
 from ticketlake.sources.bronze import STORED_ROW_ID
-from ticketlake.sources.files import read_csv, read_jsonl, write_jsonl
+from ticketlake.sources.files import LANDING_CODEC, output, read_csv, read_jsonl, write_jsonl
 from ticketlake.sources.tables import ORDER_LAKE, raw_only, raw_requests
 from ticketlake.streaming.landing import epoch_time, ingest_new_files
 
@@ -304,7 +304,8 @@ def paged_run(spark, sf_dir):
 
 def csv_run(spark, sf_dir):
     """A lake run over CSV files whose headers differ in order; one of them lacks columns that are empty."""
-    lake, raw, root = new_lake(spark), raw_requests(spark, sf_dir), fresh_dir(spark, "csv")
+    lake, root = new_lake(spark), fresh_dir(spark, "csv")
+    raw = stored(raw_requests(spark, sf_dir).select(*RAW_COLUMNS, "line"), "raw")
     plain = {"header": True, "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
     still_open = F.col("closed_date").isNull()
     parts = {
@@ -313,7 +314,7 @@ def csv_run(spark, sf_dir):
         "c": raw.filter(still_open).select(*sorted(set(RAW_COLUMNS) - {"closed_date"})),
     }
     for name, rows in parts.items():
-        rows.write.csv(f"{root}/{name}", **plain)
+        rows.write.options(**output(LANDING_CODEC)).csv(f"{root}/{name}", **plain)
     run_lake(lake, read_csv(spark, f"{root}/*"), "only", DAY_1)
     return lake.silver()
 
@@ -348,18 +349,20 @@ def bronze_ingest(spark, sf_dir):
 
 def landing_resume(spark, sf_dir):
     """An attempt that stopped half way left a part of the rows; the next one stores all of them."""
-    root, raw = fresh_dir(spark, "bronze"), raw_requests(spark, sf_dir)
+    root = fresh_dir(spark, "bronze")
+    raw = stored(raw_requests(spark, sf_dir).select(*RAW_COLUMNS, "line"), "raw")
     batch = fingerprint(raw).first()["batch_id"]
-    write_jsonl(raw.filter("line = 1"), f"{root}/landing/{batch}")
+    write_jsonl(raw.filter("line = 1"), f"{root}/landing/{batch}", LANDING_CODEC)
     _ingest(raw, root, DAY_1)
     return bronze.scan(spark, root).drop("_batch_id")
 
 
 def bronze_reingest_idempotent(spark, sf_dir):
-    """The same rows in another order on the same day replace their own batch."""
+    """The same rows in another order, and by other tasks, on the same day replace their own batch."""
     root, raw = fresh_dir(spark, "bronze"), raw_requests(spark, sf_dir)
+    late = F.coalesce(F.col("line") > 3, F.lit(False))
     first = _ingest(raw, root, DAY_1)
-    again = _ingest(raw.repartition(5, "descriptor"), root, DAY_1.replace(hour=6))
+    again = _ingest(raw.filter(late).unionByName(raw.filter(~late)), root, DAY_1.replace(hour=6))
     return (
         bronze.scan(spark, root)
         .agg(
@@ -393,7 +396,7 @@ def stream_available_now(spark, sf_dir):
     """Two deliveries of files, each picked up once; a start without new files does nothing."""
     drops, root, memory = (fresh_dir(spark, n) for n in ("drops", "bronze", "stream"))
     for i, rows in enumerate(early_and_late(spark, sf_dir)):
-        write_jsonl(rows, f"{drops}/delivery-{i}")
+        write_jsonl(rows, f"{drops}/delivery-{i}", LANDING_CODEC)
         for _ in range(2):
             ingest_new_files(
                 spark, f"{drops}/*", root, memory, ingested_at=DAY_1, source="files"
@@ -532,7 +535,9 @@ def limited_runs_complete(spark, sf_dir):
 
 def merge_older_reingest(spark, sf_dir):
     """A batch that comes back with an earlier ingest time: merging gives what a rebuild gives."""
-    lake, (early, late) = new_lake(spark), early_and_late(spark, sf_dir)
+    lake = new_lake(spark)
+    raw = stored(raw_requests(spark, sf_dir).select(*RAW_COLUMNS, "line"), "raw")
+    early, late = raw.filter("line <= 3"), raw.filter("line > 3")
     always = replace(CFG, lookback_days=20_000)
     run_lake(lake, early, "first", DAY_2, always, ingest_date=DAY_1.date())
     run_lake(lake, late, "second", DAY_2, always, ingest_date=DAY_1.date(), merge=True)
