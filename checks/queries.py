@@ -10,7 +10,7 @@ from datetime import date, datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ticketlake.config import MART_NAMES, RAW_COLUMNS, LakeConfig, fresh_dir
+from ticketlake.config import MART_NAMES, RAW_COLUMNS, LakeConfig, fresh_dir, shuffles_freed
 from ticketlake.functions.casts import ntz
 from ticketlake.functions.numeric import seconds_between
 from ticketlake.functions.text import category, postcode
@@ -329,7 +329,8 @@ def src_csv_roundtrip(spark, sf_dir):
 
 def landing_jsonl_roundtrip(spark, sf_dir):
     path = fresh_dir(spark, "jsonl")
-    write_jsonl(raw_requests(spark, sf_dir), path)
+    with shuffles_freed(spark):
+        write_jsonl(raw_requests(spark, sf_dir), path, LANDING_CODEC)
     return read_jsonl(spark, path)
 
 

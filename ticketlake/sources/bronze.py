@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ticketlake.config import BRONZE_SCHEMA, RAW_COLUMNS
+from ticketlake.config import BRONZE_SCHEMA, RAW_COLUMNS, shuffles_freed
 from ticketlake.functions.casts import ntz, to_bigint
 from ticketlake.operators.extract import created_at, newest_created
 from ticketlake.operators.fingerprint import batch_id, json_line, row_digest
@@ -81,7 +81,8 @@ def land(spark: SparkSession, rows: DataFrame, root: str) -> Batch:
             F.max(key).alias("high_key"),
         )
     )
-    write_lines(observed, "_line", path)
+    with shuffles_freed(spark):
+        write_lines(observed, "_line", path)
     got = seen.get
     if not got["rows"]:
         fs.delete(spark, path)

@@ -50,18 +50,19 @@ def spread(scan: DataFrame, *keys: str) -> DataFrame:
 def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The joined input; which side is broadcast is left to the sizes Spark sees.
 
-    Orders meet their customers first: where customers are too many to broadcast, line items, several an order, are
-    not shuffled for them.
+    Parts come first and orders, which have met their customers, last: the wider rows are shuffled once, and by their
+    order. So the versions of a request leave one task together, which packs what is stored of them, and staging
+    cuts them to one before its shuffle. What a line item adds is narrowed before it is shuffled.
     """
     t = {name: _table(spark, sf_dir, name) for name in TABLES}
     row_id = [F.col(f"_metadata.{m}").alias(n) for n, m in STORED_ROW_ID.items()]
-    stored = spread(t["lineitem"].select("*", *row_id), "l_orderkey", "l_linenumber")
+    lines = spread(t["lineitem"].select("*", *row_id), "l_orderkey", "l_linenumber")
+    hours = F.when(F.col("l_partkey") % 200 == 0, F.lit(-5)).otherwise((F.col("l_quantity") * 5).cast("int"))
+    lines = lines.withColumns({"hours": hours, "closed": F.col("l_linestatus") == "F"}).drop("l_quantity", "l_linestatus")
     place = t["nation"].join(t["region"], F.col("n_regionkey") == F.col("r_regionkey"))
     orders = t["orders"].join(t["customer"], F.col("o_custkey") == F.col("c_custkey"))
-    return (
-        stored.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-        .join(place, F.col("c_nationkey") == F.col("n_nationkey"))
-        .join(t["part"], F.col("l_partkey") == F.col("p_partkey"))
+    return lines.join(t["part"], F.col("l_partkey") == F.col("p_partkey")).join(
+        orders.join(place, F.col("c_nationkey") == F.col("n_nationkey")), F.col("l_orderkey") == F.col("o_orderkey")
     )
 
 
@@ -69,12 +70,11 @@ def raw_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 12 raw text columns, the lineage columns, the line number and the stored row's id."""
     c = F.col
     line = c("l_linenumber")
-    closed = c("l_linestatus") == "F"
+    closed = c("closed")
     # times are moved by whole seconds on the zone-less order date
     second = F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), (c("o_orderkey") % 86400).cast("decimal(18,6)"))
     created = c("o_orderdate") + second
-    hours = F.when(c("l_partkey") % 200 == 0, F.lit(-5)).otherwise((c("l_quantity") * 5).cast("int"))
-    closing = created + F.make_dt_interval(F.lit(0), hours, F.lit(0), F.lit(0).cast("decimal(18,6)"))
+    closing = created + F.make_dt_interval(F.lit(0), c("hours"), F.lit(0), F.lit(0).cast("decimal(18,6)"))
     agency = F.when(line == 1, F.concat(F.lit(" "), F.lower("o_orderpriority"), F.lit(" ")))
     zip_text = (F.lit(10000) + c("n_nationkey")).cast("string")
     zip_code = (
