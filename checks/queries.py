@@ -58,10 +58,16 @@ def silver(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stored(df: DataFrame, label: str) -> DataFrame:
     """Write a table that has several readers to the shared folder, as a run does with staging."""
     path = fresh_dir(df.sparkSession, label)
-    df.write.option("compression", "zstd").parquet(path)
+    with shuffles_freed(df.sparkSession):
+        df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.parquet(path)
 
 
+def stored_raw(spark: SparkSession, sf_dir: str, *more: str) -> DataFrame:
+    """The raw rows of queries that deliver them more than once."""
+    return stored(raw_requests(spark, sf_dir).select(*RAW_COLUMNS, *more), "raw")
+
+
 def stored_silver(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     """Silver, or the columns of it that the readers use."""
     return stored(silver(spark, sf_dir).select(*columns or ["*"]), "silver")
@@ -360,7 +366,7 @@ def landing_resume(spark, sf_dir):
 
 def bronze_reingest_idempotent(spark, sf_dir):
     """The same rows in another order, and by other tasks, on the same day replace their own batch."""
-    root, raw = fresh_dir(spark, "bronze"), raw_requests(spark, sf_dir)
+    root, raw = fresh_dir(spark, "bronze"), stored_raw(spark, sf_dir, "line")
     late = F.coalesce(F.col("line") > 3, F.lit(False))
     first = _ingest(raw, root, DAY_1)
     again = _ingest(raw.filter(late).unionByName(raw.filter(~late)), root, DAY_1.replace(hour=6))

@@ -102,3 +102,9 @@ def test_a_delivery_leaves_no_shuffle_files(spark, raw):
     with pytest.raises(ZeroDivisionError), shuffles_freed(spark):
         raise ZeroDivisionError
     assert spark.conf.get(name, None) == setting
+
+
+def test_rows_that_come_again_are_joined_once(spark, sf_dir, delivered):
+    row = queries.QUERIES["bronze_reingest_idempotent"](spark, sf_dir).first()
+    assert tuple(row) == (4 * ORDERS, 1, datetime(2024, 2, 1, 6), True)
+    assert len(delivered) == 2 and not any("lineitem" in file for files in delivered for file in files)
