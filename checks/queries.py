@@ -413,7 +413,7 @@ def stream_available_now(spark, sf_dir):
 
 def stream_replay(spark, sf_dir):
     """A micro-batch that is replayed a day later replaces what its first attempt stored."""
-    root, times, raw = fresh_dir(spark, "bronze"), fresh_dir(spark, "times"), raw_requests(spark, sf_dir)
+    root, times, raw = fresh_dir(spark, "bronze"), fresh_dir(spark, "times"), stored_raw(spark, sf_dir)
     for now in (DAY_1, DAY_2):
         _ingest(raw, root, epoch_time(spark, times, 0, now))
     return bronze.scan(spark, root).drop("_batch_id")

@@ -108,3 +108,9 @@ def test_rows_that_come_again_are_joined_once(spark, sf_dir, delivered):
     row = queries.QUERIES["bronze_reingest_idempotent"](spark, sf_dir).first()
     assert tuple(row) == (4 * ORDERS, 1, datetime(2024, 2, 1, 6), True)
     assert len(delivered) == 2 and not any("lineitem" in file for files in delivered for file in files)
+
+
+def test_a_replay_joins_its_rows_once(spark, sf_dir, delivered):
+    rows = queries.QUERIES["stream_replay"](spark, sf_dir)
+    assert rows.count() == 4 * ORDERS and {r["_ingested_at"] for r in rows.collect()} == {datetime(2024, 2, 1)}
+    assert len(delivered) == 2 and not any("lineitem" in file for files in delivered for file in files)
