@@ -543,7 +543,7 @@ def limited_runs_complete(spark, sf_dir):
 def merge_older_reingest(spark, sf_dir):
     """A batch that comes back with an earlier ingest time: merging gives what a rebuild gives."""
     lake = new_lake(spark)
-    raw = stored(raw_requests(spark, sf_dir).select(*RAW_COLUMNS, "line"), "raw")
+    raw = stored_raw(spark, sf_dir, "line")
     early, late = raw.filter("line <= 3"), raw.filter("line > 3")
     always = replace(CFG, lookback_days=20_000)
     run_lake(lake, early, "first", DAY_2, always, ingest_date=DAY_1.date())

@@ -10,11 +10,12 @@ import pytest
 from pyspark.sql import functions as F
 
 from checks import queries
-from ticketlake.config import fresh_dir, made_dirs, shuffles_freed
+from ticketlake.config import LakeConfig, fresh_dir, made_dirs, shuffles_freed
+from ticketlake.operators import gate
 from ticketlake.sources import bronze
 from ticketlake.sources.tables import raw_requests
 
-from .conftest import T0, ticket
+from tests.conftest import T0, ticket
 
 ORDERS, PARTS = 60, 7
 
@@ -114,3 +115,19 @@ def test_a_replay_joins_its_rows_once(spark, sf_dir, delivered):
     rows = queries.QUERIES["stream_replay"](spark, sf_dir)
     assert rows.count() == 4 * ORDERS and {r["_ingested_at"] for r in rows.collect()} == {datetime(2024, 2, 1)}
     assert len(delivered) == 2 and not any("lineitem" in file for files in delivered for file in files)
+
+
+def test_verdicts_are_added_behind_the_shuffle_to_buckets(lake, run_rows, monkeypatch):
+    plans, verdict = [], gate.verdict
+
+    def noting(rows, rules):
+        plans.append(rows._jdf.queryExecution().optimizedPlan().toString())
+        return verdict(rows, rules)
+
+    monkeypatch.setattr(gate, "verdict", noting)
+    run_rows(lake, [ticket(1), ticket(2, borough="nowhere"), ticket(3, closed_date="2024-03-11T10:30:00.000")], LakeConfig(threshold=1))
+    (plan,) = plans
+    assert "response_hours" in plan.partition("RebalancePartitions")[0] and "RebalancePartitions" in plan
+    assert "response_hours" not in plan.partition("RebalancePartitions")[2]
+    assert lake.silver().filter("unique_key = 3").first()["response_hours"] == 2.0
+    assert [r["failed_rules"] for r in lake.quarantine().collect()] == ["valid_borough"]

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from tests.conftest import T0, lasting, rows_of, ticket
 from ticketlake.config import SILVER_SCHEMA, LakeConfig, fresh_dir
 from ticketlake.operators import staging
+from ticketlake.operators.versions import latest_keyed, newer
 from ticketlake.sources import bronze
 from ticketlake.sources.bronze import STORED_ROW_ID
 
@@ -160,3 +161,22 @@ def test_a_merge_of_many_keys_shuffles_the_earlier_rows_once_for_both_joins(spar
         assert plan.count("ReusedExchange") >= 2, plan  # the keys that arrived, and the earlier rows
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+
+
+def test_of_rows_that_meet_in_a_merge_the_higher_stays_with_null_lowest(spark):
+    schema = "k bigint, a int, b string, more string"
+    left = spark.createDataFrame([(1, None, "x", "l"), (2, 5, "x", "l"), (3, 5, "y", "l"), (4, 1, "x", "l"), (None, 9, "x", "l")], schema)
+    right = spark.createDataFrame([(1, 3, None, "r"), (2, None, "z", "r"), (3, 5, None, "r"), (5, 1, "x", "r"), (None, 8, "x", "r")], schema)
+    assert rows_of(newer(left, right, "k", ("a", "b")), "k", "more") == [(1, "r"), (2, "l"), (3, "l")]
+    assert rows_of(newer(right, left, "k", ("a", "b")), "k", "more") == [(1, "r"), (2, "l"), (3, "l")]
+    both = latest_keyed(left.unionByName(right), "k", ("a", "b"))
+    assert rows_of(both, "k", "more") == [(1, "r"), (2, "l"), (3, "l"), (4, "l"), (5, "r")]
+
+
+def test_rows_that_meet_in_a_merge_are_not_shuffled_again(spark, bronze_of):
+    cfg, extra = LakeConfig(), ("_ingested_at", "_batch_id")
+    previous = staging.staged(bronze_of((map(ticket, range(20)), T0)), cfg, extra=extra)
+    new = staging.typed(bronze_of((map(ticket, range(9, 30)), T0 + timedelta(days=1))), cfg)
+    merged = staging.merge_staged(previous, new, new.select("ingest_date", "_batch_id").distinct(), extra)
+    assert merged.select("unique_key").distinct().count() == merged.count() == 30
+    assert merged._jdf.queryExecution().optimizedPlan().toString().count("Union") == 1

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -9,7 +11,7 @@ from ticketlake.config import SILVER_COLUMNS, LakeConfig
 from ticketlake.functions.casts import to_bigint, to_double, to_timestamp
 from ticketlake.functions.numeric import hours_between, round_half_away
 from ticketlake.functions.text import category, postcode, upper_trim
-from ticketlake.operators.versions import latest_versions
+from ticketlake.operators.versions import latest_keyed, latest_versions, newer
 
 # Newest update first, then newest ingest, then the highest batch id.
 VERSION_ORDER = ("updated_at", "_ingested_at", "_batch_id")
@@ -103,10 +105,13 @@ def merge_staged(
     earlier = previous.select(*columns)
     unkeyed = earlier.filter(~keyed).join(batches.select(*lineage).distinct(), lineage, "left_anti").select(*columns)
     # only keys that arrived again are compared; with few new keys (Spark checks the size and
-    # broadcasts them) the rest of `previous` is passed on without a shuffle, and with many both joins
-    # read one shuffle of it, as they start from the same rows
+    # broadcasts them) the rest of `previous` is passed on without a shuffle, and with many all joins
+    # read one shuffle of it and one of the newest new rows, as they start from the same rows
     arrived = new_typed.filter(keyed).select("unique_key").distinct()
     untouched = earlier.filter(keyed).join(arrived, "unique_key", "left_anti").select(*columns)
     touched = earlier.filter(keyed).join(arrived, "unique_key", "left_semi").select(*columns)
-    merged = newest_rows(touched.unionByName(new_typed)).unionByName(untouched).unionByName(unkeyed)
-    return with_response_hours(merged, extra)
+    newest = latest_keyed(new_typed, "unique_key", VERSION_ORDER, TIE_BREAK)
+    compared = newer(touched, newest, "unique_key", (*VERSION_ORDER, *TIE_BREAK))
+    added = newest.join(touched.select("unique_key"), "unique_key", "left_anti").select(*columns)
+    parts = (compared, added, untouched, unkeyed, new_typed.filter(~keyed))
+    return with_response_hours(reduce(DataFrame.unionByName, parts), extra)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -25,10 +25,27 @@ def latest_versions(
 
     The identity is not part of the result.
     """
-    ranking = [F.col(c).desc_nulls_last() for c in (*order, *tie_break)]
     if not row_id:
         df, row_id = df.withColumn("_own", F.monotonically_increasing_id()), ("_own",)
     identity = [F.when(F.col(key).isNull(), F.col(c)) for c in row_id]
-    window = Window.partitionBy(F.col(key), *identity).orderBy(*ranking)
-    ranked = df.withColumn("_version", F.row_number().over(window))
-    return ranked.filter(F.col("_version") == 1).drop("_version", *row_id)
+    return _first(df, [F.col(key), *identity], (*order, *tie_break)).drop(*row_id)
+
+
+def latest_keyed(df: DataFrame, key: str, order: Sequence[str], tie_break: Sequence[str] = ()) -> DataFrame:
+    """`latest_versions` of the rows with a key; they are left partitioned by it, as a join on the key needs them."""
+    return _first(df.filter(F.col(key).isNotNull()), [F.col(key)], (*order, *tie_break))
+
+
+def _first(df: DataFrame, group: Sequence[Column], order: Sequence[str]) -> DataFrame:
+    window = Window.partitionBy(*group).orderBy(*[F.col(c).desc_nulls_last() for c in order])
+    return df.withColumn("_version", F.row_number().over(window)).filter(F.col("_version") == 1).drop("_version")
+
+
+def newer(left: DataFrame, right: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
+    """Of two tables with a row a key: for each key that both have, the row with the higher `order` (NULL lowest)."""
+    columns = left.columns
+    both = left.select(key, F.struct(*order).alias("_left"), F.struct(*columns).alias("_left_row")).join(
+        right.select(key, F.struct(*order).alias("_right"), F.struct(*columns).alias("_right_row")), key
+    )
+    won = F.when(F.col("_right") > F.col("_left"), F.col("_right_row")).otherwise(F.col("_left_row"))
+    return both.select(won.alias("_row")).select("_row.*")
