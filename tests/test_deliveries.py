@@ -28,14 +28,14 @@ def sf_dir(spark, tmp_path):
         "region": [("r_regionkey int, r_name string"), [(0, "ASIA"), (1, "MIDDLE EAST")]],
         "nation": [("n_nationkey int, n_regionkey int"), [(0, 0), (1, 1)]],
         "customer": [("c_custkey bigint, c_nationkey int"), [(k, k % 2) for k in range(49, 55)]],
-        "part": [("p_partkey bigint, p_name string, p_brand string"), [(k, f"part {k}", f"brand {k % 3}") for k in range(PARTS)]],
+        "part": [("p_partkey bigint, p_name string, p_brand string"), [(k, f"part {k}", f"brand {k % 3}") for k in range(1, PARTS + 1)]],
         "orders": [
             "o_orderkey bigint, o_custkey bigint, o_orderdate timestamp_ntz, o_orderpriority string",
-            [(k, 49 + k % 6, day, "1-URGENT") for k in range(ORDERS)],
+            [(k, 49 + k % 6, day, "1-URGENT") for k in range(10, 10 + ORDERS)],
         ],
         "lineitem": [
             "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, l_linestatus string, l_shipdate timestamp_ntz",
-            [(k, (k + line) % PARTS, 1, line, 3.5 * line, "FO"[line % 2], day) for line in range(1, 5) for k in range(ORDERS)],
+            [(k, 1 + (k + line) % PARTS, 1, line, 3.5 * line, "FO"[line % 2], day) for line in range(1, 5) for k in range(10, 10 + ORDERS)],
         ],
     }
     for name, (schema, rows) in tables.items():
@@ -131,3 +131,21 @@ def test_verdicts_are_added_behind_the_shuffle_to_buckets(lake, run_rows, monkey
     assert "response_hours" not in plan.partition("RebalancePartitions")[2]
     assert lake.silver().filter("unique_key = 3").first()["response_hours"] == 2.0
     assert [r["failed_rules"] for r in lake.quarantine().collect()] == ["valid_borough"]
+
+
+def test_a_forced_run_joins_nothing_again(spark, sf_dir, delivered):
+    log = {r["seq"]: r for r in queries.QUERIES["rerun_idempotent"](spark, sf_dir).collect()}
+    assert [log[n]["fetched"] for n in (1, 2, 3)] == [4 * ORDERS, 0, 4 * ORDERS]
+    assert {(r["bronze_rows"], r["batches"], r["lost"], r["added"]) for r in log.values()} == {(4 * ORDERS, 1, 0, 0)}
+    assert len(delivered) == 3 and not any("lineitem" in file for files in delivered for file in files)
+
+
+def test_lost_and_added_rows_are_counted_as_except_all_counts_them(spark):
+    schema = "a int, b string, c double"
+    same = [(1, "x", 0.5), (None, None, None), (None, None, None), (2, None, float("nan"))]
+    before = spark.createDataFrame([*same, (3, "only", 1.0), (3, "only", 1.0), (4, "less", 0.0), (4, "less", 0.0)], schema)
+    after = spark.createDataFrame([*same, (None, None, None), (4, "less", -0.0), (5, "new", None)], schema)
+    found = queries.lost_and_added(before, after)
+    assert tuple(found.first()) == (before.exceptAll(after).count(), after.exceptAll(before).count()) == (3, 2)
+    assert tuple(queries.lost_and_added(before.limit(0), after.limit(0)).first()) == (0, 0)
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("Union") == 1
